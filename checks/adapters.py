@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(spark: SparkSession, df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table of few files over all cores; a table of many files is left alone."""
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
+def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spread(spark, table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+
+
 def _money(cents: str) -> str:
     """Cents as ``1.234,50``."""
     return (
@@ -25,10 +35,18 @@ def _money(cents: str) -> str:
     )
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spread(spark, table(spark, sf_dir, "events"), "event_id")
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spread(spark, table(spark, sf_dir, "pages"), "page_id")
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listings from ``lineitem`` and ``part``."""
     rows = (
-        table(spark, sf_dir, "lineitem")
+        _lineitem(spark, sf_dir)
         .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
         .selectExpr(
             "l_orderkey AS k",
@@ -108,7 +126,7 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "lineitem")
+        _lineitem(spark, sf_dir)
         .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
         .selectExpr(
             _WORKSPACE_OF.format(key="l_orderkey"),
@@ -123,7 +141,7 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def list_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices of most SKUs; several parts of a SKU may share the latest start."""
     return (
-        table(spark, sf_dir, "lineitem")
+        _lineitem(spark, sf_dir)
         .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
         .where("p_size % 10 <> 0")
         .selectExpr(
@@ -137,7 +155,7 @@ def list_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def node_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    return events(spark, sf_dir).selectExpr(
         _WORKSPACE_OF.format(key="event_id"),
         "concat('c', cast(user_id as string)) AS cluster_id",
         "cast(ts as timestamp) AS start_time",
@@ -155,7 +173,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    return events(spark, sf_dir).selectExpr(
         "concat('j', cast(user_id as string)) AS job_id",
         "concat('task', cast(event_id % 17 as string)) AS task_key",
         "CASE event_type WHEN 'view' THEN 'SUCCEEDED' WHEN 'signup' THEN 'FAILED' "
@@ -168,7 +186,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    return events(spark, sf_dir).selectExpr(
         "CASE WHEN event_id % 31 = 0 THEN NULL ELSE event_type END AS source_table_schema",
         "concat('t', cast(user_id % 20 as string)) AS source_table_name",
         "CASE WHEN event_id % 7 = 0 THEN NULL ELSE concat('cat.', event_type) END "

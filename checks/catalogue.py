@@ -66,7 +66,7 @@ def _gold(spark, sf):
 
 
 def _events(spark, sf):
-    raw = adapters.raw_events(adapters.table(spark, sf, "events"))
+    raw = adapters.raw_events(adapters.events(spark, sf))
     return with_event_time(type_events(raw))
 
 
@@ -172,7 +172,7 @@ def k6_product_events(spark, sf):
 
 
 def x1_html_blocks(spark, sf):
-    pages = adapters.table(spark, sf, "pages").select("page_id", "html")
+    pages = adapters.pages(spark, sf).select("page_id", "html")
     return html_blocks(pages, "div", "ad")
 
 
@@ -206,11 +206,11 @@ def x5_products_from_reply(spark, sf):
 
 
 def c1_typed_events(spark, sf):
-    return type_events(adapters.raw_events(adapters.table(spark, sf, "events")))
+    return type_events(adapters.raw_events(adapters.events(spark, sf)))
 
 
 def c1_strict_discount(spark, sf):
-    return type_events(adapters.raw_events(adapters.table(spark, sf, "events")), True)
+    return type_events(adapters.raw_events(adapters.events(spark, sf)), True)
 
 
 def c3_adjusted_lateness(spark, sf):
@@ -257,8 +257,9 @@ def b1_stream_dedup(spark, sf):
 
 
 def b2_batch_dedup(spark, sf):
-    order = [F.col(c).asc() for c in ("link", "origem", "extract")]
-    return dedup_latest(_listings(spark, sf), fixed.BATCH_DEDUP_KEYS, order)
+    return dedup_latest(
+        _listings(spark, sf), fixed.BATCH_DEDUP_KEYS, ["link", "origem", "extract"]
+    )
 
 
 def b3_bronze_ingest(spark, sf):

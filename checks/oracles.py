@@ -143,8 +143,9 @@ CURRENT = (
     """
 SELECT DISTINCT ON (codigo) codigo, nome, origem, memoria, oled, recomendacao, link
 FROM gold
-ORDER BY codigo, extract DESC NULLS LAST, nome NULLS FIRST, origem NULLS FIRST,
-  memoria NULLS FIRST, oled NULLS FIRST, recomendacao NULLS FIRST, link NULLS FIRST""",
+ORDER BY codigo, extract DESC NULLS LAST, nome DESC NULLS LAST, origem DESC NULLS LAST,
+  memoria DESC NULLS LAST, oled DESC NULLS LAST, recomendacao DESC NULLS LAST,
+  link DESC NULLS LAST""",
 )
 
 OFFERS = (

@@ -11,14 +11,25 @@ from pyspark.sql import functions as F
 
 from vitrine import fixed_values as fixed
 
+_MAY_BE_NUMBER = "[0-9]|(?i:nan|inf)"
+
 
 def _zero_if_missing(number: Column) -> Column:
     """NULL and NaN both become 0.0."""
     return F.coalesce(F.nanvl(number, F.lit(None).cast("double")), F.lit(0.0))
 
 
+def _number(text: Column) -> Column:
+    """Plain number to double, NULL if it is none.
+
+    Text without any digit (and not NaN or infinity) is sorted out by a look at its
+    characters: a failing cast throws and catches an exception for each row.
+    """
+    return F.when(text.rlike(_MAY_BE_NUMBER), text.try_cast("double"))
+
+
 def _decimal_comma(text: Column) -> Column:
-    return F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
+    return F.nullif(F.replace(text, F.lit(","), F.lit(".")), F.lit("")).try_cast("double")
 
 
 def scrape_time(text: Column) -> Column:
@@ -42,7 +53,7 @@ def discount_fraction(text: Column) -> Column:
     """``15%`` is 0.15 and ``0.15`` is 0.15; everything else counts as no discount."""
     percent = F.replace(text, F.lit("%"), F.lit("")).try_cast("double") / F.lit(100.0)
     return _zero_if_missing(
-        F.when(text.rlike(fixed.PERCENT_TEXT), percent).otherwise(text.try_cast("double"))
+        F.when(text.rlike(fixed.PERCENT_TEXT), percent).otherwise(_number(text))
     )
 
 
@@ -51,7 +62,7 @@ def price_brl(text: Column) -> Column:
     amount = F.replace(text, F.lit(fixed.CURRENCY_MARK), F.lit(""))
     amount = _decimal_comma(F.replace(amount, F.lit("."), F.lit("")))
     return _zero_if_missing(
-        F.when(text.rlike(fixed.PRICE_TEXT), amount).otherwise(text.try_cast("double"))
+        F.when(text.rlike(fixed.PRICE_TEXT), amount).otherwise(_number(text))
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.operators.groups import first_by
@@ -55,6 +55,6 @@ def dedup(
     return df.dropDuplicates(list(keys))
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """Batch dedup whose survivor is fixed: ``order``, then all other columns."""
-    return first_by(df, keys, list(order) or [F.lit(0)])
+def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Batch dedup whose survivor is fixed: lowest ``order`` columns, then all others."""
+    return first_by(df, keys, [F.col(c).asc() for c in order] or [F.lit(0)], order)

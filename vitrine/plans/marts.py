@@ -84,10 +84,22 @@ def suggestion(
 def suggestion_from_gold(gold: DataFrame, oled: str = fixed.OLED_YES) -> DataFrame:
     """``suggestion`` straight from gold, without the stored marts in between.
 
-    Both marts are projections of one row per code, so they need no join to each other.
+    One scan and one shuffle: the current row of a code (as in ``current_listing``) and
+    its lowest price come from the same aggregation, which starts in the map tasks.
     """
-    current = current_listing(gold).where((F.col("oled") == oled) & F.col("origem").isNotNull())
-    best = current.join(lowest_price(gold.select("codigo", "preco")), "codigo").select(
-        "codigo", "nome", "origem", "preco", "oled", "link", "recomendacao"
+    described = [c for c in _MART_COLUMNS if c != "codigo"]
+    price = F.col("preco")
+    per_code = (
+        gold.where(F.col("codigo").isNotNull())
+        .groupBy("codigo")
+        .agg(
+            F.max(F.struct("extract", *described)).alias("__last"),
+            F.min(price).alias("preco"),
+            F.bool_or(price.isNull()).alias("__unknown"),
+        )
     )
-    return masked(top1_by(best, ["origem"], "preco"))
+    best = per_code.select(
+        "codigo", "__last.*", F.when(~F.col("__unknown"), price).alias("preco")
+    ).where((F.col("oled") == oled) & F.col("origem").isNotNull())
+    offers = best.select("codigo", "nome", "origem", "preco", "oled", "link", "recomendacao")
+    return masked(top1_by(offers, ["origem"], "preco"))

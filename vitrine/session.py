@@ -15,6 +15,8 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A fused method above HotSpot's limit is never compiled; smaller ones are.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Streaming state lives on local disk with changelog checkpoints, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

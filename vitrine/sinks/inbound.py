@@ -11,8 +11,21 @@ from vitrine import fixed_values as fixed
 FOLDER = "folder"
 
 
-def _landing_rows(df: DataFrame, ts: str, keep_ts: bool) -> DataFrame:
-    out = df.withColumn(FOLDER, F.date_format(F.col(ts), fixed.FOLDER_FORMAT))
+_WRITER = "__writer"
+
+
+def _landing_rows(df: DataFrame, ts: str, keep_ts: bool, writers: int) -> DataFrame:
+    """Rows with their folder, gathered so that each folder has ``writers`` tasks.
+
+    Left as they lie, a backlog of many hours would give every task a small file for
+    every hour. The hash of the row splits a busy hour over its writers.
+    """
+    folder = F.date_format(F.col(ts), fixed.FOLDER_FORMAT)
+    row = [F.col(c) for c in df.columns]
+    out = df.withColumn(FOLDER, folder).withColumn(
+        _WRITER, F.pmod(F.xxhash64(*row), F.lit(writers))
+    )
+    out = out.repartition(FOLDER, _WRITER).drop(_WRITER)
     return out if keep_ts else out.drop(ts)
 
 
@@ -23,16 +36,16 @@ def write_inbound(
     checkpoint: str | None = None,
     keep_ts: bool = False,
     every: str | None = None,
+    writers: int = 4,
     max_rows_per_file: int = 1_000_000,
 ) -> StreamingQuery | None:
     """Append ``df`` as JSON lines under ``path/folder=<date>_<hour>``.
 
     ``ts`` chooses the folder. NULL fields are written as keys. A stream needs
     ``checkpoint``; it runs to the end of the input, or flushes at every ``every``
-    (``fixed_values.FLUSH_EVERY`` in continuous use). Hours are not gathered in one
-    task: each task writes its own file, so a busy hour has many writers.
+    (``fixed_values.FLUSH_EVERY`` in continuous use).
     """
-    rows = _landing_rows(df, ts, keep_ts)
+    rows = _landing_rows(df, ts, keep_ts, writers)
     options = {"ignoreNullFields": "false", "maxRecordsPerFile": str(max_rows_per_file)}
     if not df.isStreaming:
         rows.write.mode("append").partitionBy(FOLDER).options(**options).json(path)
