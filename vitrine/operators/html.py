@@ -6,7 +6,7 @@ import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -103,16 +103,16 @@ def html_blocks(
         ]
     )
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
                 [] if page is None else _Blocks(tag, css_class).run(page)
-                for page in batch[html_col]
+                for page in batch.column(html_col).to_pylist()
             ]
-            counts = [len(blocks) for blocks in found]
-            out = batch[names].loc[batch.index.repeat(counts)].reset_index(drop=True)
-            out["block_index"] = [i for n in counts for i in range(n)]
-            out["block"] = [block for blocks in found for block in blocks]
-            yield out
+            rows = pa.array([i for i, blocks in enumerate(found) for _ in blocks], pa.int64())
+            columns = [batch.column(name).take(rows) for name in names]
+            columns.append(pa.array([i for b in found for i in range(len(b))], pa.int32()))
+            columns.append(pa.array([block for b in found for block in b], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, [*names, "block_index", "block"])
 
-    return df.mapInPandas(parse, schema)
+    return df.mapInArrow(parse, schema)

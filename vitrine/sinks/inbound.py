@@ -14,18 +14,14 @@ FOLDER = "folder"
 _WRITER = "__writer"
 
 
-def _landing_rows(df: DataFrame, ts: str, keep_ts: bool, writers: int) -> DataFrame:
-    """Rows with their folder, gathered so that each folder has ``writers`` tasks.
-
-    Left as they lie, a backlog of many hours would give every task a small file for
-    every hour. The hash of the row splits a busy hour over its writers.
-    """
-    folder = F.date_format(F.col(ts), fixed.FOLDER_FORMAT)
+def _landing_rows(df: DataFrame, ts: str, keep_ts: bool, writers: int | None) -> DataFrame:
     row = [F.col(c) for c in df.columns]
-    out = df.withColumn(FOLDER, folder).withColumn(
-        _WRITER, F.pmod(F.xxhash64(*row), F.lit(writers))
-    )
-    out = out.repartition(FOLDER, _WRITER).drop(_WRITER)
+    out = df.withColumn(FOLDER, F.date_format(F.col(ts), fixed.FOLDER_FORMAT))
+    if writers is not None:
+        salt = F.pmod(F.xxhash64(*row), F.lit(writers))
+        out = out.withColumn(_WRITER, salt).repartition(FOLDER, _WRITER).drop(_WRITER)
+    elif not df.isStreaming:
+        out = out.hint("rebalance", FOLDER)
     return out if keep_ts else out.drop(ts)
 
 
@@ -36,7 +32,7 @@ def write_inbound(
     checkpoint: str | None = None,
     keep_ts: bool = False,
     every: str | None = None,
-    writers: int = 4,
+    writers: int | None = None,
     max_rows_per_file: int = 1_000_000,
 ) -> StreamingQuery | None:
     """Append ``df`` as JSON lines under ``path/folder=<date>_<hour>``.
@@ -44,6 +40,11 @@ def write_inbound(
     ``ts`` chooses the folder. NULL fields are written as keys. A stream needs
     ``checkpoint``; it runs to the end of the input, or flushes at every ``every``
     (``fixed_values.FLUSH_EVERY`` in continuous use).
+
+    A batch is rebalanced by folder: adaptive execution merges small hours and splits
+    large ones. A trigger of a stream spans an hour or two, so there every task writes
+    its own files. ``writers`` gathers each folder in that many tasks instead, where
+    a thin stream or a backlog of many hours would leave too many small files.
     """
     rows = _landing_rows(df, ts, keep_ts, writers)
     options = {"ignoreNullFields": "false", "maxRecordsPerFile": str(max_rows_per_file)}

@@ -30,6 +30,9 @@ def clustered(df: DataFrame, cluster_by: Sequence[str]) -> DataFrame:
 
     A hash of the other columns ends the range key: a single value that holds a large
     part of the rows is then cut into several files too.
+
+    Spark samples the ranges by running the plan of ``df`` once more, so costly
+    expressions belong after this call, and nothing below it should be observed.
     """
     keys = [F.col(c) for c in cluster_by]
     others = [F.col(c) for c in df.columns if c not in cluster_by]
