@@ -6,7 +6,7 @@ import pytest
 from helpers import bag, listings
 from pyspark.sql import functions as F
 from vitrine import schemas
-from vitrine.plans.layers import clean
+from vitrine.plans.layers import clean, recommend
 from vitrine.plans.refresh import Names, refresh
 from vitrine.session import scratch_dir
 from vitrine.sinks.inbound import write_inbound
@@ -79,7 +79,8 @@ def test_scratch_follows_the_session(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
-def test_refresh_is_incremental(spark, tmp_path):
+@pytest.mark.parametrize("incremental", [False, True])
+def test_refresh_twice(spark, tmp_path, incremental):
     for schema in ("rbronze", "rsilver", "rgold"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{tmp_path / schema}'")
     names = Names(
@@ -87,18 +88,23 @@ def test_refresh_is_incremental(spark, tmp_path):
     )
     inbound, checkpoint = str(tmp_path / "inbound"), str(tmp_path / "checkpoint")
     write_inbound(landed(adverts(spark, 40), "2025-10-05 19:00:00"), inbound, "at")
-    counts = refresh(spark, inbound, checkpoint, 10.0, names)
+    counts = refresh(spark, inbound, checkpoint, 10.0, names, incremental)
     first = dataset(spark, names.bronze).count()
     assert counts["bronze"]["required_columns"] == (first, 0)
     assert counts["silver"]["codigo_string_not_null"] == (first, 0)
     assert counts["gold"]["recomendacao_string_not_null"] == (first, 0)
 
     write_inbound(landed(adverts(spark, 60), "2025-10-05 20:00:00"), inbound, "at")
-    counts = refresh(spark, inbound, checkpoint, 10.0, names)
+    counts = refresh(spark, inbound, checkpoint, 10.0, names, incremental)
     keys = ["codigo", "preco", "desconto", "parcelamento"]
     expected = adverts(spark, 60).select(*keys).distinct().count()
     assert dataset(spark, names.bronze).count() == expected
     assert counts["bronze"]["required_columns"] == (expected - first, 0)
+    written = expected - first if incremental else expected
+    assert counts["silver"]["codigo_string_not_null"] == (written, 0)
+    assert counts["gold"]["recomendacao_string_not_null"] == (written, 0)
+    whole = recommend(clean(dataset(spark, names.bronze)), 10.0)
+    assert bag(dataset(spark, names.gold)) == bag(whole)
     assert dataset(spark, names.details).count() == 7
     assert dataset(spark, names.products).columns == schemas.PRODUCTS
     assert dataset(spark, names.prices).count() == expected

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from vitrine import fixed_values as fixed
 from vitrine.operators.quality import (
@@ -19,10 +21,12 @@ from vitrine.plans.layers import clean, recommend
 from vitrine.plans.marts import current_listing, prices, suggestion
 from vitrine.schemas import DETAILS, PRODUCTS
 from vitrine.session import scratch_dir
-from vitrine.sinks.tables import clustered, write_view
+from vitrine.sinks.tables import clustered, write_stream_table, write_view
 from vitrine.sources.listings import dataset
 from vitrine.streaming.ingest import METRICS, bronze_ingest
 
+Counts = dict[str, tuple[int, int]]
+
 
 @dataclass(frozen=True)
 class Names:
@@ -37,12 +41,37 @@ class Names:
     suggestion: str = "gold.sugestion"
 
 
-def _watched_view(df: DataFrame, rules: dict[str, str], target: str, comment: str) -> dict:
+def _watched_view(df: DataFrame, rules: Mapping[str, str], target: str, comment: str) -> Counts:
     watch = Observation(target.replace(".", "_"))
     write_view(observed(df, rules, watch), target, comment)
     return observed_counts(watch.get, rules)
 
 
+def _finished(query: StreamingQuery, rules: Mapping[str, str], metrics: str) -> Counts:
+    """Wait for a stream's end and add up the rule counts of its triggers."""
+    query.awaitTermination()
+    total = {rule: (0, 0) for rule in rules}
+    for progress in query.recentProgress:
+        row = progress.observedMetrics.get(metrics)
+        if row is not None:
+            for rule, (passed, failed) in observed_counts(row.asDict(), rules).items():
+                total[rule] = (total[rule][0] + passed, total[rule][1] + failed)
+    return total
+
+
+def _appended(
+    spark: SparkSession,
+    source: str,
+    layer: Callable[[DataFrame], DataFrame],
+    rules: Mapping[str, str],
+    target: str,
+    checkpoint: str,
+) -> Counts:
+    """New rows of ``source`` through a row-by-row ``layer``, appended to ``target``."""
+    rows = observed(layer(spark.readStream.table(source)), rules, METRICS)
+    return _finished(write_stream_table(rows, target, checkpoint), rules, METRICS)
+
+
 def refresh_marts(spark: SparkSession, names: Names = Names()) -> None:
     """Marts from the stored gold table.
 
@@ -70,30 +99,36 @@ def refresh(
     checkpoint: str,
     cdi_pct: float | None = None,
     names: Names = Names(),
-    bronze_path: str | None = None,
-) -> dict[str, dict]:
-    """New landing files through all layers; rule counts per layer come back.
-
-    The ingest is incremental through ``checkpoint``; the other datasets are rewritten.
+    incremental: bool = False,
+) -> dict[str, Counts]:
+    """New landing files through all layers; ``(passed, failed)`` per rule come back.
+
+    The ingest is always incremental through ``checkpoint``. Silver and gold are
+    rewritten in clustered files or, with ``incremental``, take only the new rows:
+    both are computed row by row, so the rows are the same. A pair of tables stays
+    with the way it was first written.
     """
-    ingest = bronze_ingest(spark, inbound, names.bronze, checkpoint, bronze_path)
-    ingest.awaitTermination()
-    counts: dict[str, dict] = {"bronze": {rule: (0, 0) for rule in BRONZE_RULES}}
-    for progress in ingest.recentProgress:
-        row = progress.observedMetrics.get(METRICS)
-        if row is not None:
-            for rule, (passed, failed) in observed_counts(row.asDict(), BRONZE_RULES).items():
-                before = counts["bronze"][rule]
-                counts["bronze"][rule] = (before[0] + passed, before[1] + failed)
-
-    # Raw rows are laid out first: codes stay as they are and scrape times sort as text,
-    # so the range sampling scans plain columns and parsing runs once, after the shuffle.
-    raw = dataset(spark, names.bronze).where(F.col("codigo").isNotNull())
-    silver = clean(clustered(raw, fixed.CLUSTER_KEYS))
-    counts["silver"] = _watched_view(silver, SILVER_RULES, names.silver, "Typed listings")
-    # Gold is read from clustered files row by row and keeps their layout without a shuffle.
-    gold = recommend(dataset(spark, names.silver), cdi_pct)
-    gold = gold.sortWithinPartitions(*fixed.CLUSTER_KEYS)
-    counts["gold"] = _watched_view(gold, GOLD_RULES, names.gold, "Listings with payment advice")
+    ingest = bronze_ingest(spark, inbound, names.bronze, f"{checkpoint}/bronze")
+    counts = {"bronze": _finished(ingest, BRONZE_RULES, METRICS)}
+
+    def advised(silver: DataFrame) -> DataFrame:
+        return recommend(silver, cdi_pct)
+
+    if incremental:
+        counts["silver"] = _appended(
+            spark, names.bronze, clean, SILVER_RULES, names.silver, f"{checkpoint}/silver"
+        )
+        counts["gold"] = _appended(
+            spark, names.silver, advised, GOLD_RULES, names.gold, f"{checkpoint}/gold"
+        )
+    else:
+        # Raw rows are laid out first: codes stay as they are and scrape times sort as
+        # text, so the range sampling scans plain columns and parsing runs once.
+        raw = dataset(spark, names.bronze).where(F.col("codigo").isNotNull())
+        silver = clean(clustered(raw, fixed.CLUSTER_KEYS))
+        counts["silver"] = _watched_view(silver, SILVER_RULES, names.silver, "Typed listings")
+        # Gold is read from clustered files and keeps their layout without a shuffle.
+        gold = advised(dataset(spark, names.silver)).sortWithinPartitions(*fixed.CLUSTER_KEYS)
+        counts["gold"] = _watched_view(gold, GOLD_RULES, names.gold, "Listings with advice")
     refresh_marts(spark, names)
     return counts
