@@ -15,10 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def is_small(spark: SparkSession, df: DataFrame) -> bool:
+    """Fewer file splits than cores."""
+    return df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+
+
 def _spread(spark: SparkSession, df: DataFrame, *keys: str) -> DataFrame:
     """Rows of a table of few files over all cores; a table of many files is left alone."""
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if is_small(spark, df) else df
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

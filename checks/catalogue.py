@@ -128,7 +128,11 @@ def s2_listing_batch(spark, sf):
 def _inbound_of_events(spark, sf) -> str:
     path = scratch_dir(spark, "inbound")
     rows = _event_stream(spark, sf).select(*schemas.LISTING.names, consumer.EVENT_TIME)
-    _run(write_inbound(rows, path, consumer.EVENT_TIME, scratch_dir(spark, "inbound-checkpoint")))
+    checkpoint = scratch_dir(spark, "inbound-checkpoint")
+    # A small table of many hours is a thin backlog: one file per hour is plenty.
+    thin = adapters.is_small(spark, adapters.table(spark, sf, "events"))
+    writers = 1 if thin else None
+    _run(write_inbound(rows, path, consumer.EVENT_TIME, checkpoint, writers=writers))
     return path
 
 

@@ -142,3 +142,28 @@ def test_strict_discount(spark):
     df = frame(spark, [tuple(row)])
     assert type_events(df).first().desconto == "15%"
     assert type_events(df, strict_discount_record=True).first().desconto is None
+
+
+def test_state_is_dropped_over_many_triggers(spark, tmp_path):
+    events = sorted(random_events(400, 13), key=lambda e: e[10])
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(0, 400, 80):
+        frame(spark, events[i : i + 80]).coalesce(1).write.mode("append").json(source)
+    stream = event_stream(spark, source, options={"maxFilesPerTrigger": "1"})
+    query = (
+        consumer.singleton_consumer(with_event_time(type_events(stream)))
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    query.awaitTermination()
+    closed = max(e[10] for e in events) - dt.timedelta(seconds=5)
+    batch = consumer.matched_windows(frame(spark, events))
+    batch = batch.where(batch.right_Window_End_Time <= closed)
+    expected = bag(consumer.listing_columns(consumer.singletons(batch)), "nome")
+    assert bag(spark.read.schema(schemas.LISTING).parquet(out), "nome") == expected
+    last = query.recentProgress[-1].stateOperators
+    join = next(op for op in last if op.operatorName == "symmetricHashJoin")
+    # Events of the last twenty of sixty seconds may still wait for a window.
+    assert join.numRowsTotal < 200
