@@ -214,7 +214,8 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         """concat('{\\n  "nome": "', p_name, ' ção",\\n  "preco": ', """
         f"""cast(p_size as string), ',\\n  "codigo": "', {code}, '"\\n}}')"""
     )
-    return table(spark, sf_dir, "part").selectExpr(
+    parts = _spread(spark, table(spark, sf_dir, "part"), "p_partkey")
+    return parts.selectExpr(
         "p_partkey",
         _reply_case(first, spaced),
     )

@@ -35,14 +35,16 @@ def reply_products(text: Column) -> Column:
     """Array of product structs, or NULL for no JSON, bad JSON or no ``produtos`` list.
 
     The text is read as the only element of a JSON array: anything after the first
-    value then makes the array invalid instead of being skipped.
+    value then makes the array invalid instead of being skipped. No JSON at all leaves
+    an empty object, which has no products either.
     """
-    span = reply_json_span(text)
-    whole = F.concat(F.lit("["), repair_braces(span), F.lit("]"))
+    whole = F.concat(F.lit("["), repair_braces(reply_json_span(text)), F.lit("]"))
     parsed = F.from_json(
         whole, f"array<struct<produtos:array<{schemas.REPLY_PRODUCT}>>>", _STRICT
     )
-    return F.when((span != "") & (F.size(parsed) == 1), parsed[0]["produtos"])
+    # Bound to a lambda variable, so that a reply is parsed once and not per mention.
+    products = F.transform(F.array(parsed), lambda a: F.when(F.size(a) == 1, a[0]["produtos"]))
+    return F.element_at(products, 1)
 
 
 def products_from_reply(

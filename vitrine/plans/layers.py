@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine import schemas
 from vitrine.functions import advice as adv
 from vitrine.functions import listing as lst
 
@@ -69,6 +68,3 @@ def recommend(
     return amounts.select(
         *kept, adv.advice(discount, F.col("pct_preco_parcelado")).alias("recomendacao")
     )
-
-
-assert set(schemas.SILVER.names) < set(schemas.GOLD.names)
