@@ -7,7 +7,8 @@ import pytest
 from helpers import bag, rows
 from vitrine import schemas
 from vitrine.operators.intervals import interval_join
-from vitrine.sources.events import event_stream, type_events, with_event_time
+from vitrine.operators.replies import product_events
+from vitrine.sources.events import decode_broker, event_stream, type_events, with_event_time
 from vitrine.streaming import consumer
 
 START = dt.datetime(2025, 1, 1)
@@ -167,3 +168,16 @@ def test_state_is_dropped_over_many_triggers(spark, tmp_path):
     join = next(op for op in last if op.operatorName == "symmetricHashJoin")
     # Events of the last twenty of sixty seconds may still wait for a window.
     assert join.numRowsTotal < 200
+
+
+def test_broker_records_carry_product_events(spark):
+    sent = frame(spark, [event("a", "1", 0, tag="ção"), event(None, "2", 1)])
+    records = product_events(sent).selectExpr(
+        "cast(value as binary) AS value", "3 AS partition", "timestamp'2025-01-01 00:00:07' AS timestamp"
+    )
+    got = type_events(decode_broker(records))
+    assert got.columns == schemas.EVENT.names
+    assert bag(got, *schemas.LISTING.names) == bag(sent, *schemas.LISTING.names)
+    assert {(r.PartitionId, r.EventEnqueuedUtcTime) for r in got.collect()} == {
+        (3, START + dt.timedelta(seconds=7))
+    }

@@ -72,11 +72,25 @@ def test_bounded_state(spark, tmp_path):
     stream = listing_stream(spark, str(tmp_path / "in")).withColumn(
         "seen", F.lit("2025-01-01 00:00:00").cast("timestamp")
     )
-    bounded = dedup(stream.withWatermark("seen", "1 hour"), KEYS, within="seen")
+    bounded = dedup(stream, KEYS, within="seen")
     got = run(spark, bounded, tmp_path)
     assert bag(got, *KEYS) == dict.fromkeys(distinct_keys(adverts(spark, 60), KEYS), 1)
 
 
+def test_repeat_after_the_delay_comes_again(spark, tmp_path):
+    def land(hour):
+        rows = adverts(spark, 1).withColumn("seen", F.lit(f"2025-01-01 0{hour}:00:00"))
+        rows.write.mode("append").json(str(tmp_path / "in"))
+
+    schema = "codigo string, preco string, desconto string, parcelamento string, seen timestamp"
+    for hour in (0, 5, 9):
+        land(hour)
+        stream = spark.readStream.schema(schema).json(str(tmp_path / "in"))
+        got = run(spark, dedup(stream, KEYS, within="seen", delay="1 hour"), tmp_path)
+    # State goes when the watermark has passed it, which the trigger at 05:00 brings about.
+    assert sorted(r.seen.hour for r in got.collect()) == [0, 9]
+
+
 def test_latest_survivor_is_fixed(spark):
     df = adverts(spark)
     keys = fixed.BATCH_DEDUP_KEYS

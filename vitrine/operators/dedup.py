@@ -36,22 +36,25 @@ def collapse_repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dedup(
-    df: DataFrame, keys: Sequence[str], within: str | None = None, collapse: bool = True
+    df: DataFrame,
+    keys: Sequence[str],
+    within: str | None = None,
+    delay: str = "1 hour",
+    collapse: bool = True,
 ) -> DataFrame:
     """First arrival per ``keys``; NULL equals NULL.
 
-    On a stream the state of ``keys`` is kept for ever, unless ``within`` names a
-    watermark column already set on ``df``: then only for the watermark's delay.
+    On a stream the state of ``keys`` is kept for ever, unless ``within`` names a time
+    column: then a repeat is known for ``delay`` behind the latest time, and its state goes
+    once a later trigger has moved the watermark past it.
     """
     if not df.isStreaming:
         return df.dropDuplicates(list(keys))
-    if within is not None:
-        # The Arrow step would lose the watermark of the column, so it is left out.
-        if within not in df.columns:
-            raise ValueError(f"no column {within} to bound the state by")
-        return df.dropDuplicatesWithinWatermark(list(keys))
     if collapse:
         df = collapse_repeats(df, keys)
+    if within is not None:
+        # Set here, as the Arrow step does not carry a watermark.
+        return df.withWatermark(within, delay).dropDuplicatesWithinWatermark(list(keys))
     return df.dropDuplicates(list(keys))
 
 

@@ -23,19 +23,12 @@ def event_stream(
     return spark.readStream.format(fmt).schema(schema).options(**(options or {})).load(path)
 
 
-def broker_stream(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """Events from a Kafka-compatible broker.
+def decode_broker(raw: DataFrame) -> DataFrame:
+    """Event columns from broker records ``value, partition, timestamp``.
 
-    Needs the Kafka connector on the class path. Partition and enqueue time of the
-    broker become the envelope columns.
+    Partition and enqueue time of the broker become the envelope columns; a value that
+    is no JSON gives NULL columns.
     """
-    raw = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .options(**options)
-        .load()
-    )
     body = F.from_json(F.col("value").cast("string"), schemas.LISTING).alias("body")
     return raw.select(
         body,
@@ -45,6 +38,18 @@ def broker_stream(spark: SparkSession, servers: str, topic: str, **options: str)
     ).select("body.*", "EventProcessedUtcTime", "PartitionId", "EventEnqueuedUtcTime")
 
 
+def broker_stream(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+    """Events from a Kafka-compatible broker; needs the Kafka connector on the class path."""
+    raw = (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .options(**options)
+        .load()
+    )
+    return decode_broker(raw)
+
+
 def type_events(df: DataFrame, strict_discount_record: bool = False) -> DataFrame:
     """The eleven event columns in their types; values that do not convert are NULL.
 
