@@ -26,14 +26,14 @@ WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ODD_BLANKS = re.compile("[\x1c-\x1f]")
 
 
-def plain_words(text: str | None) -> list[bytes]:
-    """Lower-cased (A-Z only) words without ASCII punctuation, as UTF-8; none for a missing text."""
-    return text.encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split() if text else []
+def plain_words(text: bytes | None) -> list[bytes]:
+    """Lower-cased (A-Z only) words of a UTF-8 text without ASCII punctuation; none for a missing text."""
+    return text.translate(_WORD_BYTES).split() if text else []
 
 
-def blank_words(text: str | None) -> list[bytes]:
-    """Words between ASCII blanks (space, 0x09 to 0x0D), unchanged, as UTF-8; none for a missing text."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+def blank_words(text: bytes | None) -> list[bytes]:
+    """Words of a UTF-8 text between ASCII blanks (space, 0x09 to 0x0D), unchanged; none for a missing text."""
+    return text.split() if text else []
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -5,10 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import licence_rules, packing, token_index, url_filter
+from vitrine.llm import (
+    language,
+    licence_rules,
+    packing,
+    phrase_automata,
+    pivot_search,
+    positional_index,
+    token_index,
+    toxicity,
+    url_filter,
+)
 from vitrine.session import scratch_dir
 
 
@@ -27,6 +37,54 @@ URL_RULES = [
 LISTED_LABELS = ["spam-farm", "casino-win", "cheap-pills"]
 
 
+def _remainder(divisor: int) -> Column:
+    """crc32 of doc_id as text, modulo ``divisor``; a missing id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = _remainder(4) == 2
+    labels = _table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out)
+    model = toxicity.learn(spark, documents, "doc_id", "text", labels, "toxic")
+    scored = toxicity.score(spark, documents, "text", model, F.col("doc_id"), held_out.alias("held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op2_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return pivot_search.search(spark, vectors, "vec_id", "embedding", F.col("vec_id") % 50 == 0)
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    benchmark = _table(spark, sf_dir, "benchmark", "item_id", "text")
+    index = positional_index.build(spark, documents, "doc_id", "text", scratch_dir(spark, "positions"))
+    judged = positional_index.judge(index, positional_index.search(spark, index, benchmark, "item_id", "text"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    cleaned = phrase_automata.remove_repeats(spark, documents, "doc_id", "text", F.col("doc_id"))
+    return cleaned.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = _remainder(5) == 0
+    return language.identify(
+        spark, documents, "text", ~held_out, "lang", F.col("doc_id"), held_out.alias("held_out")
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack(spark, documents, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
@@ -59,6 +117,11 @@ def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
+        "op2_pivot_search": op2_pivot_search,
+        "op3_decontamination": op3_decontamination,
+        "op4_repeats": op4_repeats,
+        "op5_language": op5_language,
         "op7_packing": op7_packing,
         "op8_url_filter": op8_url_filter,
         "op9_licences": op9_licences,

@@ -75,5 +75,25 @@ def _op9() -> str:
     """
 
 
+OP2 = """
+WITH usable AS (
+    SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.row AS query_row, q.vec_id AS query_id, c.vec_id, c.row,
+        CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.row <> c.row AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 50 = 0
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id NULLS FIRST, row) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filter": OP8, "op9_licences": _op9()}
+    return {"op2_pivot_search": OP2, "op8_url_filter": OP8, "op9_licences": _op9()}
