@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vitrine.llm import (
     language,
     licence_rules,
+    near_copies,
     packing,
     phrase_automata,
     pivot_search,
@@ -85,6 +86,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.classes(spark, _table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack(spark, documents, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
@@ -122,6 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontamination": op3_decontamination,
         "op4_repeats": op4_repeats,
         "op5_language": op5_language,
+        "op6_near_copies": op6_near_copies,
         "op7_packing": op7_packing,
         "op8_url_filter": op8_url_filter,
         "op9_licences": op9_licences,

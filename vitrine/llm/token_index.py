@@ -38,7 +38,7 @@ from vitrine.llm.tokens import encoder
 
 SEGMENT_IDS = 1 << 20
 KEYS_PER_PART = 20_000
-TEXT_PER_BATCH = 4 << 20
+TEXT_PER_BATCH = 8 << 20
 _BITS_PER_KEY = 2
 _LEVELS = 64
 
@@ -114,13 +114,13 @@ def _segments(path: str, width: str, batches: Iterable[pa.RecordBatch]) -> Itera
     segment, first_id = 0, 0
     last, copy = (False, None), 0
     documents: list[tuple] = []
-    held: list[bytes] = []
+    held: list[np.ndarray] = []
 
     def flush() -> pa.RecordBatch:
         nonlocal segment, first_id
         lengths = np.array([d[2] for d in documents], "<u4")
         places = np.cumsum(lengths.astype(np.int64)) - lengths
-        ids = np.frombuffer(b"".join(held), "<u4").astype(width).tobytes()
+        ids = np.concatenate(held).tobytes()
         n = len(documents)
         batch = pa.RecordBatch.from_arrays(
             [
@@ -143,16 +143,18 @@ def _segments(path: str, width: str, batches: Iterable[pa.RecordBatch]) -> Itera
 
     size = 0
     for batch in rechunked(batches, "text", TEXT_PER_BATCH):
-        keys = batch.column("key").to_pylist()
-        for key, ids in zip(keys, encode.documents(batch.column("text").to_pylist())):
+        ids, ends = encode.documents(batch.column("text"))
+        start = 0
+        for key, end in zip(batch.column("key").to_pylist(), ends.tolist()):
             copy = copy + 1 if last == (True, key) else 0
             last = (True, key)
-            if documents and size + len(ids) // 4 > SEGMENT_IDS:
+            if documents and size + end - start > SEGMENT_IDS:
                 yield flush()
                 size = 0
-            documents.append((key, copy, len(ids) // 4))
-            held.append(ids)
-            size += len(ids) // 4
+            documents.append((key, copy, end - start))
+            held.append(ids[start:end].astype(width))
+            size += end - start
+            start = end
     if documents:
         yield flush()
 

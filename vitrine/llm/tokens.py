@@ -1,39 +1,30 @@
 """Encoding of whole texts with a public tokenizer, at the cost of its distinct chunks.
 
 Both supported kinds of tokenizer split a text before they merge anything, and no merge crosses a split. A text is
-therefore cut at places where the tokenizer cuts as well, each distinct chunk is encoded once, and the ids of a
-text are put together from a bounded cache. ``tests/llm`` holds the result against encoding whole texts.
+therefore cut at places where the tokenizer cuts as well, each distinct chunk is encoded once, and the ids of the
+texts are put together from a bounded cache. ``tests/llm`` holds the result against encoding whole texts.
 """
 
 from __future__ import annotations
 
 import os
-import re
-from itertools import chain
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from vitrine.llm.batches import ODD_BLANKS, kept_in_worker
+from vitrine.llm.batches import kept_in_worker
 
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 1_000_000
 LONGEST_CACHED = 64
+AT_ONCE = 4_096
 END_ID = 0
 
-# Where a run of blanks is longer than these, a cut before its last space could fall inside one chunk.
-_RUNS = re.compile(r"\s{3}|\s\s\Z|[\x1c-\x1f]")
-
-
-def _by_blank(text: str) -> list[str]:
-    """For tokenizers that drop blanks: cut at every blank."""
-    return [text] if ODD_BLANKS.search(text) else text.split()
-
-
-def _by_space(text: str) -> list[str]:
-    """For byte-level tokenizers: cut before each space that starts a word."""
-    if _RUNS.search(text):
-        return [text]
-    first, *rest = text.split(" ")
-    return [first, *[" " + part for part in rest]]
+# All that any library takes for a blank.
+_BLANK = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# With such a run, a cut before one of its spaces could fall inside a chunk of the byte-level kind.
+_RUNS = f"{_BLANK}{{3}}|{_BLANK}{{2}}$"
 
 
 class Encoder:
@@ -45,30 +36,63 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._split = {"blank": _by_blank, "space": _by_space}[split]
+        self._space = {"blank": False, "space": True}[split]
         self._cache: dict[str, bytes] = {}
 
-    def documents(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text and the end id, as little-endian unsigned 32-bit integers; a missing text is empty."""
-        chunks = [self._split(text) if text else [] for text in texts]
-        wanted = set(chain.from_iterable(chunks))
-        missing = [c for c in wanted if c not in self._cache]
-        if len(self._cache) + len(missing) > CACHED_CHUNKS:
-            self._cache, missing = {}, list(wanted)
-        known = self._cache
-        long_ones = {}
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            for chunk, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                ids = np.array(found.ids, "<u4").tobytes()
-                if len(chunk) > LONGEST_CACHED:
-                    long_ones[chunk] = ids
-                else:
-                    known[chunk] = ids
-        if long_ones:
-            known = {**{c: known[c] for c in wanted if c in known}, **long_ones}
-        end = END_ID.to_bytes(4, "little")
-        return [b"".join([known[c] for c in own]) + end for own in chunks]
+    def _encoded(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that are not cached."""
+        found = []
+        for at in range(0, len(chunks), AT_ONCE):
+            part = self._tokenizer.encode_batch_fast(chunks[at : at + AT_ONCE], add_special_tokens=False)
+            found.extend([array("I", e.ids).tobytes() for e in part])
+        return found
+
+    def _looked_up(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks."""
+        missing = [c for c in chunks if c not in self._cache]
+        new = dict(zip(missing, self._encoded(missing)))
+        out = [new[c] if c in new else self._cache[c] for c in chunks]
+        if len(self._cache) + len(new) > CACHED_CHUNKS:
+            self._cache = {}
+        self._cache.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST_CACHED)
+        return out
+
+    def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each followed by the end id, and the place where each text ends.
+
+        A missing text is empty.
+        """
+        texts = pc.fill_null(texts, "")
+        whole: list[str | None] = [None] * len(texts)
+        if self._space:
+            for i in np.flatnonzero(pc.match_substring_regex(texts, _RUNS).to_numpy(zero_copy_only=False)).tolist():
+                whole[i] = texts[i].as_py()
+            uncut = pa.array([w is not None for w in whole])
+            parts = pc.split_pattern(pc.if_else(uncut, "", texts), " ")
+        else:
+            parts = pc.ascii_split_whitespace(texts)
+        offsets = parts.offsets.to_numpy().astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        chunks = coded.dictionary.to_pylist()
+        first_ids: list[bytes] = []
+        if self._space:
+            # The first part of a text has no space before it.
+            firsts = [w if w is not None else chunks[codes[at]] for w, at in zip(whole, offsets[:-1].tolist())]
+            names = list(dict.fromkeys(firsts))
+            known = dict(zip(names, self._looked_up(names)))
+            first_ids = [known[f] for f in firsts]
+            codes[offsets[:-1]] = len(chunks) + np.arange(len(firsts))
+            chunks = [" " + c for c in chunks]
+        pool = [*self._looked_up(chunks), *first_ids, END_ID.to_bytes(4, "little")]
+        sizes = np.array([len(p) // 4 for p in pool], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        codes = np.insert(codes, offsets[1:], len(pool) - 1)
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths)
+        at = np.repeat(starts[codes] - (ends - lengths), lengths)
+        at += np.arange(len(at))
+        return np.frombuffer(b"".join(pool), "<u4")[at], ends[offsets[1:] + np.arange(len(texts))]
 
 
 def encoder(path: str, split: str) -> Encoder:
