@@ -15,19 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def is_small(spark: SparkSession, df: DataFrame) -> bool:
-    """Fewer file splits than cores."""
-    return df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-
-
-def _spread(spark: SparkSession, df: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a table of few files over all cores; a table of many files is left alone."""
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if is_small(spark, df) else df
-
-
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spread(spark, table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    return table(spark, sf_dir, "lineitem")
 
 
 def _money(cents: str) -> str:
@@ -41,11 +30,11 @@ def _money(cents: str) -> str:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spread(spark, table(spark, sf_dir, "events"), "event_id")
+    return table(spark, sf_dir, "events")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spread(spark, table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,8 +124,9 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
         .selectExpr(
             _WORKSPACE_OF.format(key="l_orderkey"),
-            "CASE WHEN l_orderkey % 29 = 0 THEN NULL ELSE concat(p_type, cast(p_size as string)) END "
-            "AS sku_name",
+            # Some usage has no SKU, some has one without a price.
+            "CASE WHEN l_orderkey % 29 = 0 THEN NULL WHEN l_orderkey % 10 = 3 THEN concat(p_type, ' spot') "
+            "ELSE concat(p_type, cast(p_size as string)) END AS sku_name",
             "cast(l_quantity + l_discount as decimal(18,4)) AS usage_quantity",
             "cast(l_shipdate as timestamp) AS usage_end_time",
         )
@@ -144,11 +134,10 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prices of most SKUs; several parts of a SKU may share the latest start."""
+    """Prices of every part's SKU; several parts of a SKU may share the latest start."""
     return (
         _lineitem(spark, sf_dir)
         .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
-        .where("p_size % 10 <> 0")
         .selectExpr(
             "concat(p_type, cast(p_size as string)) AS sku_name",
             "cast(p_retailprice as decimal(18,4)) AS price",
@@ -214,8 +203,7 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         """concat('{\\n  "nome": "', p_name, ' ção",\\n  "preco": ', """
         f"""cast(p_size as string), ',\\n  "codigo": "', {code}, '"\\n}}')"""
     )
-    parts = _spread(spark, table(spark, sf_dir, "part"), "p_partkey")
-    return parts.selectExpr(
+    return table(spark, sf_dir, "part").selectExpr(
         "p_partkey",
         _reply_case(first, spaced),
     )

@@ -229,7 +229,8 @@ USAGE = (
     f"""
 SELECT * FROM (
   SELECT {_workspace('l_orderkey')},
-    CASE WHEN l_orderkey % 29 = 0 THEN NULL ELSE p_type || p_size::varchar END AS sku_name,
+    CASE WHEN l_orderkey % 29 = 0 THEN NULL WHEN l_orderkey % 10 = 3 THEN p_type || ' spot'
+         ELSE p_type || p_size::varchar END AS sku_name,
     (l_quantity + l_discount)::decimal(18,4) AS usage_quantity, l_shipdate AS usage_end_time
   FROM lineitem JOIN part ON p_partkey = l_partkey
 ) WHERE workspace_id = 'w1'""",
@@ -241,7 +242,7 @@ LIST_PRICES = (
 SELECT sku_name, price, price_start_time FROM (
   SELECT DISTINCT p_type || p_size::varchar AS sku_name, p_retailprice::decimal(18,4) AS price,
     date_trunc('year', l_shipdate)::timestamp AS price_start_time
-  FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size % 10 <> 0
+  FROM lineitem JOIN part ON p_partkey = l_partkey
 ) QUALIFY dense_rank() OVER (PARTITION BY sku_name ORDER BY price_start_time DESC) = 1""",
 )
 
@@ -389,7 +390,9 @@ def oracle_sql() -> dict[str, str]:
     sql["k3_stream_table"] = _with(EVENTS, result=f"SELECT {LISTING_COLUMNS} FROM typed")
     silver_rows = "SELECT * FROM silver"
     sql["k4_write_view"] = _with(*_TO_SILVER, result=silver_rows)
-    sql["k5_clustered_layout"] = _with(*_TO_SILVER, result=silver_rows)
+    laid_out = "SELECT 0::bigint AS overlapping_files, count(*) AS \"rows\" FROM"
+    sql["k5_clustered_layout"] = _with(*_TO_SILVER, result=f"{laid_out} silver")
+    sql["k5_gold_layout"] = _with(*_TO_GOLD, result=f"{laid_out} gold")
     sql["k6_product_events"] = _with(
         LISTINGS,
         result="""SELECT codigo AS "key", CAST(json_object('codigo', codigo, 'nome', nome,
@@ -431,6 +434,7 @@ FROM repaired r LEFT JOIN found f USING (p_partkey) GROUP BY r.p_partkey""",
         result="""SELECT link, greatest(EventEnqueuedUtcTime,
   EventProcessedUtcTime - INTERVAL 5 SECOND) AS EventEnqueuedUtcTime FROM typed""",
     )
+    sql["c3_adjusted_stream"] = sql["c3_adjusted_lateness"]
     sql["c4_passthrough"] = _with(EVENTS, result="SELECT * FROM typed")
     sql["c5_tumbling_count"] = _with(EVENTS, COUNTS, result="SELECT * FROM counts")
     matched = f"""SELECT {', '.join(f'{c} AS left_{c}' for c in _RAW)},
@@ -535,16 +539,28 @@ FROM matches"""
     history = """SELECT codigo, preco, numero_parcelas, valor_prestacao, desconto,
   extract AS "data" FROM gold"""
     sql["n3_precos"] = _with(*_TO_GOLD, result=history)
-    sql["n4_precos_ordered"] = _with(*_TO_GOLD, result=f"{history} ORDER BY preco")
+    sql["n4_precos_ordered"] = _with(
+        *_TO_GOLD,
+        result=f"""SELECT row_number() OVER (ORDER BY preco, codigo, "data" NULLS FIRST, numero_parcelas NULLS FIRST,
+  valor_prestacao NULLS FIRST, desconto) - 1 AS place, * FROM ({history})""",
+    )
+    for key, columns in {
+        "n4_detalhes_ordered": "codigo, memoria, oled, recomendacao, link",
+        "n4_produtos_ordered": "codigo, nome, origem",
+    }.items():
+        sql[key] = _with(
+            *to_current,
+            result=f"SELECT row_number() OVER (ORDER BY codigo) - 1 AS place, {columns} FROM actual",
+        )
     sql["m1_offer_join"] = _with(
         *to_current,
         result="""SELECT g.codigo, a.nome, a.origem, g.preco, a.oled, a.link, a.recomendacao
-FROM gold g LEFT JOIN actual a ON g.codigo = a.codigo""",
+FROM gold g JOIN actual a ON g.codigo = a.codigo""",
     )
     sql["m2_oled_offers"] = _with(
         *to_current,
         result="""SELECT g.codigo, a.nome, a.origem, g.preco, a.link, a.recomendacao
-FROM actual a RIGHT JOIN gold g ON g.codigo = a.codigo WHERE a.oled = 'Sim'""",
+FROM gold g JOIN actual a ON g.codigo = a.codigo WHERE a.oled = 'Sim'""",
     )
     sql["m3_known_marketplace"] = _with(*to_offers, result="SELECT * FROM offers")
     sql["m4_mask_code"] = _with(
@@ -593,7 +609,7 @@ FROM own_usage JOIN newest_prices USING (sku_name)""",
         USAGE,
         result="""SELECT usage_end_time::date AS usage_end_date,
   CAST(round(CAST(CAST(sum(usage_quantity) AS FLOAT) AS DOUBLE), 2) AS FLOAT) AS total_dbu_usage
-FROM own_usage WHERE usage_end_time::date - DATE '2001-06-24' >= 0 GROUP BY usage_end_date""",
+FROM own_usage WHERE usage_end_time::date >= DATE '2001-06-24' GROUP BY usage_end_date""",
     )
     sql["r9_cluster_listing"] = _with(
         *shown,
@@ -602,16 +618,16 @@ FROM own_usage WHERE usage_end_time::date - DATE '2001-06-24' >= 0 GROUP BY usag
     )
     sql["r10_run_outcomes"] = _with(
         RUNS,
-        result="""SELECT coalesce(map_extract_value(MAP {'SUCCEEDED': 'SUCCESS', 'ERROR': 'ERROR',
-  'FAILED': 'ERROR', 'SKIPPED': 'ERROR', 'TIMED_OUT': 'TIMED_OUT'}, result_state), 'OTHER')
-  AS result_state, count(*) AS total_count FROM live_runs GROUP BY 1""",
+        result="""SELECT CASE WHEN result_state = 'SUCCEEDED' THEN 'SUCCESS'
+  WHEN result_state IN ('ERROR', 'FAILED', 'SKIPPED') THEN 'ERROR'
+  WHEN result_state = 'TIMED_OUT' THEN 'TIMED_OUT' ELSE 'OTHER' END AS result_state,
+  count(*) AS total_count FROM live_runs GROUP BY 1""",
     )
     sql["r11_active_runs"] = _with(RUNS, result="SELECT task_key, result_state FROM live_runs")
     sql["r12_errors_by_task"] = _with(
         RUNS,
         result="""SELECT task_key, count(*) AS error_count FROM live_runs
-WHERE result_state = 'ERROR' OR result_state = 'FAILED' OR result_state = 'SKIPPED'
-GROUP BY task_key""",
+WHERE result_state IN ('ERROR', 'FAILED', 'SKIPPED') GROUP BY task_key""",
     )
     sql["r13_lineage_totals"] = _with(
         LINEAGE,
@@ -635,6 +651,14 @@ WHERE starts_with("table", 'p') GROUP BY ALL""",
             ],
         ),
     )
+    sql["e0_streamed_rules"] = _with(
+        LISTINGS,
+        (
+            "arrived",
+            "SELECT DISTINCT codigo, preco, desconto, parcelamento FROM listings",
+        ),
+        result=_rules("arrived", [("required_columns", "codigo IS NOT NULL AND preco IS NOT NULL")]),
+    )
     sql["e2_silver_rules"] = _with(
         *_TO_SILVER,
         result=_rules("silver", [(f"{c}_{k}_not_null", f"{c} IS NOT NULL") for c, k in _SILVER_KINDS]),
@@ -658,4 +682,18 @@ WHERE starts_with("table", 'p') GROUP BY ALL""",
         *_TO_GOLD,
         result=_suite("gold.recommendations", "gold", [c for c, _ in _GOLD_KINDS], False),
     )
+    wrong = sorted(c for c, _ in _SILVER_KINDS if c != "oled")
+    right = sorted(c for c, _ in _SILVER_KINDS)
+    sql["q6_failing_tables"] = _with(
+        *_TO_SILVER,
+        result=f"""SELECT 'missing' AS dataset, 'table_exists' AS "check", false AS passed, 'missing' AS detail
+UNION ALL SELECT 'wrong', 'table_exists', true, 'found'
+UNION ALL SELECT 'wrong', 'columns', false, '{",".join(wrong)}'
+UNION ALL SELECT 'wrong', 'types', false, 'oled,preco'
+UNION ALL SELECT 'wrong', 'not_empty', count(*) > 0, count(*)::varchar FROM silver
+UNION ALL SELECT 'empty', 'table_exists', true, 'found'
+UNION ALL SELECT 'empty', 'columns', true, '{",".join(right)}'
+UNION ALL SELECT 'empty', 'types', true, ''
+UNION ALL SELECT 'empty', 'not_empty', false, '0'""",
+    )
     return sql

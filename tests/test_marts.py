@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 from helpers import bag, plan, rows
+from pyspark.sql import functions as F
 from vitrine import schemas
 from vitrine.plans import marts
 
@@ -100,3 +101,39 @@ def test_plans(spark):
     assert "Join" not in one_pass
     assert one_pass.count("Exchange hashpartitioning") == 2
     assert "numero_parcelas" not in plan(marts.details(df)).split("Project")[1]
+
+
+def test_hot_code_is_dealt_over_tasks(spark):
+    """Half of all prices on one code: no task of the join gets more than about twice the mean."""
+    prices = spark.range(200_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('c', cast(id % 997 as string)) END AS codigo",
+        "cast(id % 1013 as double) AS preco",
+    )
+    current = spark.range(997).selectExpr(
+        "CASE WHEN id = 0 THEN 'hot' ELSE concat('c', cast(id as string)) END AS codigo", "'n' AS nome"
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = marts.priced(current, prices, salts=64)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == prices.join(current, "codigo").count()
+        assert max(sizes) <= 2.2 * sum(sizes) / 8
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_offers_find_the_current_row_once(spark):
+    df = gold(spark)
+    for oled in ("Sim", "Nao"):
+        parts = marts.products(df), marts.prices(df), marts.details(df), oled
+        assert bag(marts.offers_from_gold(df, oled)) == bag(marts.offers(*parts))
+    assert marts.offers_from_gold(df).count() == df.count()
+    assert plan(marts.offers_from_gold(df, "Sim")).count("WindowGroupLimit") == 2

@@ -49,3 +49,13 @@ def test_no_nested_loops_in_reports(spark, tmp_path):
     )
     text = plan(reports.cluster_inventory(stored(spark, tmp_path, spec), "w"))
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_lineage_filters_reach_the_scan(spark, tmp_path):
+    spec = (
+        "source_table_schema string, source_table_name string, source_table_full_name string, "
+        "target_table_name string, target_table_full_name string, entity_type string"
+    )
+    text = plan(reports.lineage_totals(stored(spark, tmp_path, spec), "p"))
+    pushed = next(line for line in text.splitlines() if "PushedFilters" in line)
+    assert "IsNotNull(entity_type)" in pushed and "IsNotNull(source_table_schema)" in pushed

@@ -112,3 +112,54 @@ def test_refresh_twice(spark, tmp_path, incremental):
     assert {r.origem for r in best} <= {"s0", "s1"} and all(r.codigo.startswith("00") for r in best)
     for schema in ("rbronze", "rsilver", "rgold"):
         spark.sql(f"DROP DATABASE {schema} CASCADE")
+
+
+def test_rule_counts_of_more_triggers_than_spark_remembers(spark, tmp_path):
+    from vitrine.operators.quality import BRONZE_RULES
+    from vitrine.plans.refresh import rule_counts
+    from vitrine.streaming.ingest import bronze_ingest
+
+    path = str(tmp_path / "inbound")
+    for i in range(8):
+        adverts(spark, 5, 5 * i).coalesce(1).write.mode("append").json(path)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    spark.sql(f"CREATE DATABASE rules LOCATION '{tmp_path / 'rules'}'")
+    try:
+        query = bronze_ingest(spark, path, "rules.l", str(tmp_path / "c"), max_files_per_trigger=1)
+        counts = rule_counts(query, BRONZE_RULES)
+        assert counts["required_columns"] == (spark.table("rules.l").count(), 0)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.sql("DROP DATABASE rules CASCADE")
+
+
+def test_bounded_ingest(spark, tmp_path):
+    from vitrine.streaming.ingest import bronze_ingest
+
+    path = str(tmp_path / "inbound")
+    adverts(spark, 60).write.json(path)
+    spark.sql(f"CREATE DATABASE bounded LOCATION '{tmp_path / 'bounded'}'")
+    try:
+        for _ in range(2):
+            bronze_ingest(spark, path, "bounded.l", str(tmp_path / "c"), delay="365 days", collapse=True).awaitTermination()
+        stored = spark.table("bounded.l")
+        assert stored.columns == schemas.LISTING.names
+        keys = ["codigo", "preco", "desconto", "parcelamento"]
+        assert bag(stored, *keys) == bag(adverts(spark, 60).select(*keys).distinct())
+    finally:
+        spark.sql("DROP DATABASE bounded CASCADE")
+
+
+def test_gold_layout_of_a_refresh(spark, tmp_path):
+    from vitrine.sinks.tables import overlapping_files
+
+    spark.sql(f"CREATE DATABASE laid LOCATION '{tmp_path / 'laid'}'")
+    names = Names(*[f"laid.{n}" for n in "abcdefg"])
+    try:
+        write_inbound(landed(adverts(spark, 200), "2025-10-05 19:00:00"), str(tmp_path / "in"), "at")
+        refresh(spark, str(tmp_path / "in"), str(tmp_path / "c"), 10.0, names, max_files_per_trigger=1)
+        for table in (names.silver, names.gold):
+            row = overlapping_files(dataset(spark, table), "codigo").first()
+            assert row.overlapping_files == 0 and row.rows == dataset(spark, names.bronze).count()
+    finally:
+        spark.sql("DROP DATABASE laid CASCADE")

@@ -27,8 +27,8 @@ ADVICE_NONE = "Sem Vantagem Identificada"
 
 # --- fixed values: landing folders ---
 FOLDER_FORMAT = "yyyy-MM-dd_HH"
+# A flush waits for this time; the row minimum that also triggers one has no counterpart in Spark.
 FLUSH_EVERY = "1 minute"
-FLUSH_ROWS = 2000
 
 # --- fixed values: windowed consumer ---
 WINDOW_SECONDS = 5

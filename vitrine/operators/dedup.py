@@ -40,13 +40,14 @@ def dedup(
     keys: Sequence[str],
     within: str | None = None,
     delay: str = "1 hour",
-    collapse: bool = True,
+    collapse: bool = False,
 ) -> DataFrame:
     """First arrival per ``keys``; NULL equals NULL.
 
     On a stream the state of ``keys`` is kept for ever, unless ``within`` names a time
     column: then a repeat is known for ``delay`` behind the latest time, and its state goes
-    once a later trigger has moved the watermark past it.
+    once a later trigger has moved the watermark past it. ``collapse`` drops repeats inside
+    each Arrow batch first (see ``collapse_repeats``), which pays where keys are hot.
     """
     if not df.isStreaming:
         return df.dropDuplicates(list(keys))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -21,6 +22,10 @@ _VOID = frozenset(
 )
 
 
+# Output of a batch of pages is passed on in parts of about this size.
+_CHARS_PER_BATCH = 16 << 20
+
+
 class _Blocks(HTMLParser):
     """Start and end offsets of the elements that match a tag and class."""
 
@@ -31,9 +36,11 @@ class _Blocks(HTMLParser):
         self._text = ""
         self._line_starts: list[int] = [0]
         self._open: list[tuple[str, list[int] | None]] = []
+        self._names: Counter[str] = Counter()  # of the open elements
         self.spans: list[list[int]] = []
 
-    def run(self, text: str) -> list[str]:
+    def run(self, text: str) -> Iterator[str]:
+        """Blocks one by one: nested ones together can be far larger than the page."""
         self._text = text
         at = text.find("\n")
         while at >= 0:
@@ -41,7 +48,8 @@ class _Blocks(HTMLParser):
             at = text.find("\n", at + 1)
         self.feed(text)
         self.close()
-        return [text[start : end if end >= 0 else len(text)] for start, end in self.spans]
+        for start, end in self.spans:
+            yield text[start : end if end >= 0 else len(text)]
 
     def _offset(self) -> int:
         line, column = self.getpos()
@@ -65,6 +73,7 @@ class _Blocks(HTMLParser):
                 span[1] = span[0] + len(self.get_starttag_text())
         else:
             self._open.append((tag, span))
+            self._names[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self._matches(tag, attrs):
@@ -72,11 +81,12 @@ class _Blocks(HTMLParser):
             self.spans.append([start, start + len(self.get_starttag_text())])
 
     def handle_endtag(self, tag: str) -> None:
-        if all(name != tag for name, _ in self._open):
+        if not self._names[tag]:
             return
         start = self._offset()
         while self._open:
             name, span = self._open.pop()
+            self._names[name] -= 1
             if span:
                 # An element left open ends where the enclosing end tag begins.
                 span[1] = self._text.find(">", start) + 1 if name == tag else start
@@ -105,14 +115,28 @@ def html_blocks(
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                [] if page is None else _Blocks(tag, css_class).run(page)
-                for page in batch.column(html_col).to_pylist()
-            ]
-            rows = pa.array([i for i, blocks in enumerate(found) for _ in blocks], pa.int64())
-            columns = [batch.column(name).take(rows) for name in names]
-            columns.append(pa.array([i for b in found for i in range(len(b))], pa.int32()))
-            columns.append(pa.array([block for b in found for block in b], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, [*names, "block_index", "block"])
+            rows: list[int] = []
+            numbers: list[int] = []
+            texts: list[str] = []
+            size = 0
+
+            def flush(batch: pa.RecordBatch = batch) -> pa.RecordBatch:
+                columns = [batch.column(name).take(pa.array(rows, pa.int64())) for name in names]
+                columns += [pa.array(numbers, pa.int32()), pa.array(texts, pa.string())]
+                return pa.RecordBatch.from_arrays(columns, [*names, "block_index", "block"])
+
+            for row, page in enumerate(batch.column(html_col).to_pylist()):
+                if page is None:
+                    continue
+                for number, block in enumerate(_Blocks(tag, css_class).run(page)):
+                    rows.append(row)
+                    numbers.append(number)
+                    texts.append(block)
+                    size += len(block)
+                    if size >= _CHARS_PER_BATCH:
+                        yield flush()
+                        rows, numbers, texts, size = [], [], [], 0
+            if rows:
+                yield flush()
 
     return df.mapInArrow(parse, schema)

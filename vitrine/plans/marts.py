@@ -10,6 +10,9 @@ from vitrine import schemas
 from vitrine.functions.listing import link_host, mask_code
 from vitrine.operators.groups import latest_by, top1_by
 
+PRICE_SALTS = 16
+_SALT = "__salt"
+OFFER = ["codigo", "nome", "origem", "preco", "oled", "link", "recomendacao"]
 _MART_COLUMNS = list(dict.fromkeys([*schemas.PRODUCTS, *schemas.DETAILS]))
 
 
@@ -36,15 +39,38 @@ def prices(gold: DataFrame) -> DataFrame:
     return gold.select(*schemas.PRICES[:-1], F.col("extract").alias("data"))
 
 
-def offers(products: DataFrame, prices: DataFrame, details: DataFrame, oled: str) -> DataFrame:
+def priced(current: DataFrame, prices: DataFrame, salts: int = PRICE_SALTS) -> DataFrame:
+    """Every stored price with the current row of its code.
+
+    A code may hold any share of the history. Its prices are dealt by code and a salt, and
+    its one current row goes to each salt, so they never meet in one task.
+    """
+    salted = prices.select(
+        "codigo", "preco", F.pmod(F.xxhash64(*prices.columns), F.lit(salts)).cast("int").alias(_SALT)
+    )
+    copies = current.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, ["codigo", _SALT]).drop(_SALT)
+
+
+def offers(
+    products: DataFrame,
+    prices: DataFrame,
+    details: DataFrame,
+    oled: str,
+    salts: int = PRICE_SALTS,
+) -> DataFrame:
     """One row per code and stored price, for products with the asked screen."""
     known = products.where(F.col("origem").isNotNull())
     screen = details.where(F.col("oled") == oled).drop("memoria")
-    return (
-        known.join(prices.select("codigo", "preco"), "codigo")
-        .join(screen, "codigo")
-        .select("codigo", "nome", "origem", "preco", "oled", "link", "recomendacao")
-    )
+    return priced(known.join(screen, "codigo"), prices, salts).select(*OFFER)
+
+
+def offers_from_gold(gold: DataFrame, oled: str | None = None, salts: int = PRICE_SALTS) -> DataFrame:
+    """Offers with the current row of a code found once; without ``oled``, those of all rows."""
+    current = current_listing(gold).drop("memoria")
+    if oled is not None:
+        current = current.where((F.col("oled") == oled) & F.col("origem").isNotNull())
+    return priced(current, prices(gold), salts).select(*OFFER)
 
 
 def lowest_price(prices: DataFrame) -> DataFrame:
@@ -77,7 +103,7 @@ def suggestion(
     row per code before the join: a code with a third of all prices costs one row per
     map task, and the joins are one to one.
     """
-    best = offers(products, lowest_price(prices), details, oled)
+    best = offers(products, lowest_price(prices), details, oled, salts=1)
     return masked(top1_by(best, ["origem"], "preco"))
 
 
@@ -101,5 +127,4 @@ def suggestion_from_gold(gold: DataFrame, oled: str = fixed.OLED_YES) -> DataFra
     best = per_code.select(
         "codigo", "__last.*", F.when(~F.col("__unknown"), price).alias("preco")
     ).where((F.col("oled") == oled) & F.col("origem").isNotNull())
-    offers = best.select("codigo", "nome", "origem", "preco", "oled", "link", "recomendacao")
-    return masked(top1_by(offers, ["origem"], "preco"))
+    return masked(top1_by(best.select(*OFFER), ["origem"], "preco"))

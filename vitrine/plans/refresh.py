@@ -26,6 +26,7 @@ from vitrine.sources.listings import dataset
 from vitrine.streaming.ingest import METRICS, bronze_ingest
 
 Counts = dict[str, tuple[int, int]]
+POLL_SECONDS = 1
 
 
 @dataclass(frozen=True)
@@ -47,14 +48,26 @@ def _watched_view(df: DataFrame, rules: Mapping[str, str], target: str, comment:
     return observed_counts(watch.get, rules)
 
 
-def _finished(query: StreamingQuery, rules: Mapping[str, str], metrics: str) -> Counts:
-    """Wait for a stream's end and add up the rule counts of its triggers."""
-    query.awaitTermination()
+def rule_counts(query: StreamingQuery, rules: Mapping[str, str], metrics: str = METRICS) -> Counts:
+    """Wait for a stream's end and add up the rule counts of all its triggers.
+
+    Spark keeps the progress of the latest triggers only, so it is read while the stream runs.
+    Should a trigger have gone unseen, this raises rather than give a part of the counts.
+    """
+    seen: dict[int, dict | None] = {}
+    ended = False
+    while not ended:
+        ended = bool(query.awaitTermination(POLL_SECONDS))
+        for progress in query.recentProgress:
+            row = progress.observedMetrics.get(metrics)
+            if row is not None or progress.batchId not in seen:
+                seen[progress.batchId] = None if row is None else row.asDict()
+    if seen and len(seen) < max(seen) - min(seen) + 1:
+        raise RuntimeError("triggers passed unseen: raise spark.sql.streaming.numRecentProgressUpdates")
     total = {rule: (0, 0) for rule in rules}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(metrics)
+    for row in seen.values():
         if row is not None:
-            for rule, (passed, failed) in observed_counts(row.asDict(), rules).items():
+            for rule, (passed, failed) in observed_counts(row, rules).items():
                 total[rule] = (total[rule][0] + passed, total[rule][1] + failed)
     return total
 
@@ -69,7 +82,7 @@ def _appended(
 ) -> Counts:
     """New rows of ``source`` through a row-by-row ``layer``, appended to ``target``."""
     rows = observed(layer(spark.readStream.table(source)), rules, METRICS)
-    return _finished(write_stream_table(rows, target, checkpoint), rules, METRICS)
+    return rule_counts(write_stream_table(rows, target, checkpoint), rules)
 
 
 def refresh_marts(spark: SparkSession, names: Names = Names()) -> None:
@@ -100,6 +113,9 @@ def refresh(
     cdi_pct: float | None = None,
     names: Names = Names(),
     incremental: bool = False,
+    max_files_per_trigger: int | None = None,
+    delay: str | None = None,
+    collapse: bool = False,
 ) -> dict[str, Counts]:
     """New landing files through all layers; ``(passed, failed)`` per rule come back.
 
@@ -107,9 +123,20 @@ def refresh(
     rewritten in clustered files or, with ``incremental``, take only the new rows:
     both are computed row by row, so the rows are the same. A pair of tables stays
     with the way it was first written.
+
+    ``max_files_per_trigger`` bounds a backlog; ``delay`` bounds the state of the ingest by
+    the scrape time (see ``bronze_ingest``); ``collapse`` helps it with hot adverts.
     """
-    ingest = bronze_ingest(spark, inbound, names.bronze, f"{checkpoint}/bronze")
-    counts = {"bronze": _finished(ingest, BRONZE_RULES, METRICS)}
+    ingest = bronze_ingest(
+        spark,
+        inbound,
+        names.bronze,
+        f"{checkpoint}/bronze",
+        max_files_per_trigger=max_files_per_trigger,
+        delay=delay,
+        collapse=collapse,
+    )
+    counts = {"bronze": rule_counts(ingest, BRONZE_RULES)}
 
     def advised(silver: DataFrame) -> DataFrame:
         return recommend(silver, cdi_pct)
@@ -127,8 +154,8 @@ def refresh(
         raw = dataset(spark, names.bronze).where(F.col("codigo").isNotNull())
         silver = clean(clustered(raw, fixed.CLUSTER_KEYS))
         counts["silver"] = _watched_view(silver, SILVER_RULES, names.silver, "Typed listings")
-        # Gold is read from clustered files and keeps their layout without a shuffle.
-        gold = advised(dataset(spark, names.silver)).sortWithinPartitions(*fixed.CLUSTER_KEYS)
+        # A scan packs files by size, not by order, so gold is laid out again before the advice.
+        gold = advised(clustered(dataset(spark, names.silver), fixed.CLUSTER_KEYS))
         counts["gold"] = _watched_view(gold, GOLD_RULES, names.gold, "Listings with advice")
     refresh_marts(spark, names)
     return counts

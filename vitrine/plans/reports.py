@@ -200,10 +200,13 @@ def _lineage_actions(lineage: DataFrame) -> DataFrame:
 
     def action(kind: str, end: str) -> Column:
         label = F.concat(F.col("source_table_schema"), F.lit("."), F.col(f"{end}_table_name"))
-        known = F.col(f"{end}_table_full_name").isNotNull() & F.col("entity_type").isNotNull()
+        known = F.col(f"{end}_table_full_name").isNotNull()
         return F.struct(F.when(known, label).alias("table"), F.lit(kind).alias("type"))
 
-    return lineage.select(
+    labelled = lineage.where(
+        F.col("entity_type").isNotNull() & F.col("source_table_schema").isNotNull()
+    )
+    return labelled.select(
         F.inline(
             F.array(
                 action(fixed.LINEAGE_READ, "source"),

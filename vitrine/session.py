@@ -27,21 +27,10 @@ RUNTIME = {
 _local_scratch: dict[str, str] = {}
 
 
-_PARTITIONS = "spark.sql.shuffle.partitions"
-_DEFAULT_PARTITIONS = "200"
-
-
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session.
-
-    A local session left at Spark's default number of shuffle partitions gets one per
-    core: a stream keeps a state store for each of them. Clusters choose their own.
-    """
+    """Apply the runtime settings to an existing session; its number of partitions stays."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
-    context = spark.sparkContext
-    if context.master.startswith("local") and spark.conf.get(_PARTITIONS) == _DEFAULT_PARTITIONS:
-        spark.conf.set(_PARTITIONS, str(context.defaultParallelism))
     return spark
 
 

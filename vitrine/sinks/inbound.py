@@ -34,12 +34,13 @@ def write_inbound(
     every: str | None = None,
     writers: int | None = None,
     max_rows_per_file: int = 1_000_000,
+    continuous: bool = False,
 ) -> StreamingQuery | None:
     """Append ``df`` as JSON lines under ``path/folder=<date>_<hour>``.
 
     ``ts`` chooses the folder. NULL fields are written as keys. A stream needs
-    ``checkpoint``; it runs to the end of the input, or flushes at every ``every``
-    (``fixed_values.FLUSH_EVERY`` in continuous use).
+    ``checkpoint``; it runs to the end of the input, or flushes at every ``every``.
+    ``continuous`` stands for the fixed flush time.
 
     A batch is rebalanced by folder: adaptive execution merges small hours and splits
     large ones. A trigger of a stream spans an hour or two, so there every task writes
@@ -51,6 +52,8 @@ def write_inbound(
     if not df.isStreaming:
         rows.write.mode("append").partitionBy(FOLDER).options(**options).json(path)
         return None
+    if continuous and every is None:
+        every = fixed.FLUSH_EVERY
     if checkpoint is None:
         raise ValueError("a stream needs a checkpoint folder")
     writer = (

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 
 def write_stream_table(
@@ -40,6 +41,22 @@ def clustered(df: DataFrame, cluster_by: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*keys, *spread).sortWithinPartitions(*keys)
 
 
+def overlapping_files(df: DataFrame, column: str) -> DataFrame:
+    """How many files of a stored table begin below the end of another, and its rows.
+
+    One row: ``overlapping_files`` and ``rows``. Files that only share a value do not overlap.
+    """
+    per_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(column).alias("low"), F.max(column).alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    # A row per file. Of disjoint ranges, each ends where or before the next begins.
+    before = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))
+    ranked = per_file.withColumn("before", before)
+    return ranked.agg(
+        F.count_if(F.col("before") > F.col("low")).alias("overlapping_files"), F.sum("n").alias("rows")
+    )
+
+
 def write_view(
     df: DataFrame,
     target: str,
@@ -47,7 +64,11 @@ def write_view(
     cluster_by: Sequence[str] = (),
     path: str | None = None,
 ) -> None:
-    """Replace the Parquet table ``target`` by the rows of ``df``."""
+    """Replace the Parquet table ``target`` by the rows of ``df``.
+
+    The table is missing or half written until this ends; readers that cannot wait should read
+    a copy. ``df`` must not read ``target``.
+    """
     if cluster_by:
         df = clustered(df, cluster_by)
     writer = df.write.format("parquet").mode("overwrite")

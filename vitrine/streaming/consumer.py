@@ -25,6 +25,8 @@ EVENT_TIME = "EventEnqueuedUtcTime"
 GROUP = ["codigo", "parcelamento", "preco"]
 COUNT = "COUNT_codigo"
 WINDOW_END = "Window_End_Time"
+# Join groups of one code and bucket of time.
+SALTS = 4
 _WINDOW = "__window"
 _EMITTED = "__emitted"
 _COPIES = "__copies"
@@ -59,8 +61,12 @@ def matched_windows(
     events: DataFrame,
     window_s: int = fixed.WINDOW_SECONDS,
     tolerance_s: int = fixed.TOLERANCE_SECONDS,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Every event with every window of its code that ends within the tolerance."""
+    """Every event with every window of its code that ends within the tolerance.
+
+    ``salts`` spreads a hot code over as many join groups in each bucket of time.
+    """
     counts = _windowed_counts(events, GROUP, "codigo", EVENT_TIME, f"{window_s} seconds")
     right = counts.select(
         *GROUP,
@@ -78,6 +84,7 @@ def matched_windows(
         -tolerance_s,
         tolerance_s,
         right_event_time=_EMITTED if streaming else None,
+        salts=salts,
     )
 
 
@@ -95,7 +102,7 @@ def singleton_consumer(
     events: DataFrame,
     window_s: int = fixed.WINDOW_SECONDS,
     tolerance_s: int = fixed.TOLERANCE_SECONDS,
-    salts: int = 1,
+    salts: int = SALTS,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """``listing_columns(singletons(matched_windows(events)))``, cheaper.
@@ -105,7 +112,7 @@ def singleton_consumer(
     per code and window in place of one per price and instalment text, and each event
     is repeated as often as it matched.
 
-    ``keep`` adds event columns to the output; ``salts`` spreads a hot code of a stream.
+    ``keep`` adds event columns to the output; ``salts`` spreads a hot code.
     """
     window = f"{window_s} seconds"
     counts = _windowed_counts(events, GROUP, "codigo", EVENT_TIME, window)
