@@ -40,7 +40,7 @@ KMER = 5
 SIMILARITY = 0.8
 TABLES = 20
 PER_TABLE = 3
-BITS = 512
+BITS = 1024
 _BASE = 0x9E3779B97F4A7C15
 _SEED = 11
 
@@ -212,24 +212,36 @@ def _popular_pairs(spark: SparkSession, members: DataFrame) -> DataFrame:
 
 def _cross_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of nodes of different classes that share a key and may be similar."""
-    classed = members.select("key", "node").join(roots, "node", "left")
-    classed = classed.select("key", "node", F.coalesce("root", "node").alias("root"))
+    classed = members.select("table", "key", "node").join(roots, "node", "left")
+    classed = classed.select("table", "key", "node", F.coalesce("root", "node").alias("root"))
     mixed_keys = classed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
     mixed_keys = mixed_keys.where(F.col("least") != F.col("most")).select("key")
-    rows = classed.join(mixed_keys, "key", "left_semi").join(nodes.select("node", "n", "bits"), "node")
+    # Columns of their own make a join condition that Spark can compile.
+    words = [F.element_at("bits", i + 1).alias(f"bits{i}") for i in range(BITS // 64)]
+    keys = [F.element_at("keys", i + 1).alias(f"key{i}") for i in range(TABLES)]
+    rows = classed.join(mixed_keys, "key", "left_semi").join(nodes.select("node", "n", *words, *keys), "node")
     a, b = rows.alias("a"), rows.alias("b")
-    missing = sum(
-        F.bit_count(F.element_at(F.col("a.bits"), i + 1).bitwiseAND(F.bitwise_not(F.element_at(F.col("b.bits"), i + 1))))
-        for i in range(BITS // 64)
-    )
-    lacking = sum(
-        F.bit_count(F.element_at(F.col("b.bits"), i + 1).bitwiseAND(F.bitwise_not(F.element_at(F.col("a.bits"), i + 1))))
-        for i in range(BITS // 64)
-    )
+
+    def own(side: str, other: str) -> Column:
+        """K-mers of one side, less a sure number of those that the other lacks."""
+        lacking = [
+            F.bit_count(F.col(f"{side}.bits{i}").bitwiseAND(F.bitwise_not(F.col(f"{other}.bits{i}"))))
+            for i in range(BITS // 64)
+        ]
+        return F.col(f"{side}.n") - sum(lacking)
+
     least = F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("a.n") + F.col("b.n")) - 1e-6
-    possible = (F.least(F.col("a.n") - missing, F.col("b.n") - lacking) >= least) & (F.col("a.root") < F.col("b.root"))
+    possible = (
+        (F.col("a.root") < F.col("b.root"))
+        & (F.least(F.col("a.n"), F.col("b.n")) >= least)
+        & (own("a", "b") >= least)
+        & (own("b", "a") >= least)
+    )
+    # A pair is made at the first key that it shares.
+    for table in range(TABLES - 1):
+        possible &= ~((F.col("a.table") > table) & (F.col(f"a.key{table}") == F.col(f"b.key{table}")))
     joined = a.join(b, (F.col("a.key") == F.col("b.key")) & possible)
-    return joined.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    return joined.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
 
 
 def _classes(spark: SparkSession, documents: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -242,12 +254,12 @@ def _classes(spark: SparkSession, documents: DataFrame, key: str, text: str) ->
     signed = stored(spark, columns.mapInArrow(_signed, SIGNED), "signed")
     # Copies of a text give equal columns, so any of them will do; they are aggregated before the shuffle.
     known = signed.where(F.col("node").isNotNull())
-    nodes = known.select("node", "n", "keys", "bits").dropDuplicates(["node"])
-    members = nodes.select("node", F.explode("keys").alias("key"))
+    nodes = known.select("node", "keys").dropDuplicates(["node"])
+    members = nodes.select("node", F.posexplode("keys").alias("table", "key"))
     shared = members.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
     members = stored(spark, members.join(shared, "key"), "members")
     involved = members.select("node").distinct()
-    texts = known.select("node", "n", "bits", "words").join(involved, "node", "left_semi").dropDuplicates(["node"])
+    texts = known.select("node", "n", "keys", "bits", "words").join(involved, "node", "left_semi").dropDuplicates(["node"])
     nodes = stored(spark, texts, "nodes")
 
     links = stored(spark, _links(_popular_pairs(spark, members), nodes), "links")
