@@ -9,6 +9,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from vitrine.operators import quality, replies
 from vitrine.operators.dedup import dedup, dedup_latest
 from vitrine.operators.html import html_blocks
 from vitrine.plans import layers, marts, reports
-from vitrine.plans.refresh import rule_counts
+from vitrine.plans.refresh import Names, refresh, rule_counts
 from vitrine.session import configure, scratch_dir
 from vitrine.sinks.inbound import write_inbound
 from vitrine.sinks.tables import clustered, overlapping_files, write_stream_table, write_view
@@ -571,6 +572,41 @@ def _one_check(check: str) -> Query:
     return lambda spark, sf: q6_gold_suite(spark, sf).where(F.col("check") == check)
 
 
+# --- the whole chain ---------------------------------------------------------
+
+
+def _refreshed(spark, landings: list[DataFrame], incremental: bool) -> DataFrame:
+    """Price history after a refresh of all layers for each of the landings."""
+    inbound, checkpoint = scratch_dir(spark, "inbound"), scratch_dir(spark, "refresh-checkpoint")
+    history = scratch_dir(spark, "history")
+    with _own_database(spark) as database:
+        names = Names(*[f"{database}.{f.name}" for f in fields(Names)])
+        for rows in landings:
+            write_inbound(rows, inbound, consumer.EVENT_TIME)
+            refresh(spark, inbound, checkpoint, CDI_PCT, names, incremental, max_files_per_trigger=500)
+        # The tables go with the database.
+        dataset(spark, names.prices).drop("data").write.parquet(history)
+    return spark.read.parquet(history)
+
+
+def _consumed(spark, sf) -> DataFrame:
+    return consumer.singleton_consumer(
+        _events(spark, sf), WINDOW_S, WINDOW_S, keep=[consumer.EVENT_TIME]
+    )
+
+
+def p1_refresh(spark, sf):
+    """Events through consumer, landing files, ingest, cleaning, advice and marts."""
+    return _refreshed(spark, [_consumed(spark, sf)], incremental=False)
+
+
+def p2_refresh_incremental(spark, sf):
+    """The same in two landings, of which the second brings repeats of the first."""
+    rows = _consumed(spark, sf)
+    early = F.pmod(F.xxhash64("link"), F.lit(2)) == 0
+    return _refreshed(spark, [rows.where(early), rows], incremental=True)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -619,6 +655,7 @@ QUERIES |= {
         r14_lineage_by_table,
         e0_streamed_rules, e1_bronze_rules, e2_silver_rules, e3_gold_rules, q4_null_counts,
         q6_bronze_suite, q6_silver_suite, q6_gold_suite, q6_failing_tables,
+        p1_refresh, p2_refresh_incremental,
     )
 }
 QUERIES |= {

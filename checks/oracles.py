@@ -682,6 +682,20 @@ WHERE starts_with("table", 'p') GROUP BY ALL""",
         *_TO_GOLD,
         result=_suite("gold.recommendations", "gold", [c for c, _ in _GOLD_KINDS], False),
     )
+    sql["p1_refresh"] = _with(
+        EVENTS,
+        COUNTS,
+        MATCHES,
+        (
+            "listings",
+            """SELECT DISTINCT codigo, preco, desconto, parcelamento, NULL::varchar AS nome,
+  NULL::varchar AS origem, NULL::varchar AS link, NULL::varchar AS extract
+FROM matches WHERE "COUNT_codigo" = 1""",
+        ),
+        SILVER,
+        result="SELECT codigo, preco, numero_parcelas, valor_prestacao, desconto FROM silver",
+    )
+    sql["p2_refresh_incremental"] = sql["p1_refresh"]
     wrong = sorted(c for c, _ in _SILVER_KINDS if c != "oled")
     right = sorted(c for c, _ in _SILVER_KINDS)
     sql["q6_failing_tables"] = _with(
