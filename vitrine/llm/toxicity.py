@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from vitrine.llm.batches import plain_words
 
 BITS = 22
-SAMPLE = 8_000
+SAMPLE = 6_000
 Z = 5.0
 LEAST_TEXTS = 5
 FACTORS = 8
@@ -89,20 +89,22 @@ def train(rows: list[tuple[np.ndarray, int]]) -> Model:
     if not positive or not negative:
         bias = -30.0 if not positive else 30.0
         return Model(nothing, bias, np.empty(0), np.empty((0, FACTORS)))
-    everywhere = np.concatenate([p for p, _ in rows]) if rows else nothing
-    owners = np.repeat(np.arange(len(rows)), [len(p) for p, _ in rows])
     size = 1 << BITS
-    with_term = np.bincount(everywhere, minlength=size)
-    toxic = np.bincount(everywhere, labels[owners], size)
-    share_1, share_0 = toxic / positive, (with_term - toxic) / negative
-    pooled = with_term / len(labels)
+    with_term, toxic = np.zeros(size, np.int32), np.zeros(size, np.int32)
+    for places_, label in rows:  # a text's places are distinct
+        with_term[places_] += 1
+        toxic[places_] += label
+    seen = np.flatnonzero(with_term >= LEAST_TEXTS)
+    texts_with, toxic_with = with_term[seen].astype(float), toxic[seen].astype(float)
+    pooled = texts_with / len(labels)
     error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / positive + 1 / negative))
-    known = np.flatnonzero((np.abs(share_1 - share_0) / error >= Z) & (with_term >= LEAST_TEXTS))
+    apart = np.abs(toxic_with / positive - (texts_with - toxic_with) / negative)
+    known = seen[apart / error >= Z]
 
-    number = np.full(size, -1, np.int64)
+    number = np.full(size, -1, np.int32)
     number[known] = np.arange(len(known))
-    texts = [number[p] for p, _ in rows]
-    texts = [t[t >= 0] for t in texts]
+    texts = [own[own >= 0] for own in (number[p] for p, _ in rows)]
+    del with_term, toxic, number
     random = np.random.default_rng(SEED)
     linear, factors = np.zeros(len(known)), random.normal(0, 0.01, (len(known), FACTORS))
     bias = float(np.log(positive / negative))
@@ -160,9 +162,9 @@ def learn(spark: SparkSession, documents: DataFrame, key: str, text: str, labels
         .dropDuplicates(["toxic", "text"])
     )
     rows = texts.mapInArrow(_hashed, "toxic int, places binary").collect()
-    unpacked = [(np.frombuffer(bytes(r.places), "<u4").astype(np.int64), r.toxic) for r in rows]
-    unpacked.sort(key=lambda r: (r[1], len(r[0]), r[0].tobytes()))  # the same model whatever the order of tasks
-    return train(unpacked)
+    # The same model whatever the order of tasks.
+    rows = sorted(((r.toxic, bytes(r.places)) for r in rows), key=lambda r: (r[0], len(r[1]), r[1]))
+    return train([(np.frombuffer(places_, "<u4"), label) for label, places_ in rows])
 
 
 def _scored(model, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
