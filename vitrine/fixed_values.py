@@ -17,6 +17,9 @@ MEMORY_SIZE = r"(?iU)\d+[\s\x1c-\x1f]*GB"
 OLED_NAME = "(?i)oled"
 LINK_HOST = r"^(.*?\.com)"
 
+# --- fixed values: fields of a keyed message, in order ---
+MESSAGE_FIELDS = ["codigo", "nome", "preco", "desconto", "parcelamento", "link", "origem", "extract"]
+
 # --- fixed values: labels ---
 NO_MEMORY = "-"
 OLED_YES = "Sim"

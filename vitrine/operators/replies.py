@@ -68,6 +68,5 @@ def products_from_reply(
 
 def product_events(df: DataFrame, key: str = "codigo") -> DataFrame:
     """``key`` and JSON ``value`` per row, NULL fields kept, for a keyed event stream."""
-    names = ["codigo", "nome", "preco", "desconto", "parcelamento", "link", "origem", "extract"]
-    body = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    body = F.to_json(F.struct(*fixed.MESSAGE_FIELDS), {"ignoreNullFields": "false"})
     return df.select(F.col(key).alias("key"), body.alias("value"))

@@ -89,7 +89,8 @@ def refresh_marts(spark: SparkSession, names: Names = Names()) -> None:
     """Marts from the stored gold table.
 
     The row per code that two marts share is found once and kept in a written table:
-    it survives lost executors and is small next to the history.
+    it survives lost executors and is small next to the history. The marts are always
+    rewritten as a whole.
     """
     gold = dataset(spark, names.gold)
     staged = scratch_dir(spark, "current-listing")
