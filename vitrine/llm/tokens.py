@@ -8,6 +8,7 @@ texts are put together from a bounded cache. ``tests/llm`` holds the result agai
 from __future__ import annotations
 
 import os
+import re
 from array import array
 
 import numpy as np
@@ -23,6 +24,8 @@ END_ID = 0
 
 # All that any library takes for a blank.
 _BLANK = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Places inside a chunk at which both kinds of tokenizer cut.
+_PARTS = re.compile(r"(?<=[A-Za-z])(?=[.,;:!?#%&$*|\n])|(?<=[.,;:!?#%&$*|])(?=\n[^\s])|(?<=[^\s]\n)(?=[A-Za-z])")
 # With such a run, a cut before one of its spaces could fall inside a chunk of the byte-level kind.
 _RUNS = f"{_BLANK}{{3}}|{_BLANK}{{2}}$"
 
@@ -40,7 +43,7 @@ class Encoder:
         self._cache: dict[str, bytes] = {}
 
     def _encoded(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks that are not cached."""
+        """Ids of chunks by the tokenizer."""
         found = []
         for at in range(0, len(chunks), AT_ONCE):
             part = self._tokenizer.encode_batch_fast(chunks[at : at + AT_ONCE], add_special_tokens=False)
@@ -49,12 +52,19 @@ class Encoder:
 
     def _looked_up(self, chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks."""
-        missing = [c for c in chunks if c not in self._cache]
+        cache = self._cache
+        # A word with punctuation or a line break is rarely seen again, its parts are.
+        parted = {c: _PARTS.split(c) for c in chunks if c not in cache and _PARTS.search(c)}
+        wanted = {c for c in chunks if c not in parted}
+        wanted.update(p for parts in parted.values() for p in parts)
+        missing = [c for c in wanted if c not in cache]
         new = dict(zip(missing, self._encoded(missing)))
-        out = [new[c] if c in new else self._cache[c] for c in chunks]
-        if len(self._cache) + len(new) > CACHED_CHUNKS:
+        for chunk, parts in parted.items():
+            new[chunk] = b"".join([new[p] if p in new else cache[p] for p in parts])
+        out = [new[c] if c in new else cache[c] for c in chunks]
+        if len(cache) + len(new) > CACHED_CHUNKS:
             self._cache = {}
-        self._cache.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST_CACHED)
+        self._cache.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST_CACHED and c not in parted)
         return out
 
     def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -85,13 +95,14 @@ class Encoder:
             codes[offsets[:-1]] = len(chunks) + np.arange(len(firsts))
             chunks = [" " + c for c in chunks]
         pool = [*self._looked_up(chunks), *first_ids, END_ID.to_bytes(4, "little")]
-        sizes = np.array([len(p) // 4 for p in pool], np.int64)
-        starts = np.cumsum(sizes) - sizes
+        # 32 bits reach for the ids of a batch of texts.
+        sizes = np.fromiter(map(len, pool), np.int32, len(pool)) // 4
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
         codes = np.insert(codes, offsets[1:], len(pool) - 1)
         lengths = sizes[codes]
-        ends = np.cumsum(lengths)
+        ends = np.cumsum(lengths, dtype=np.int32)
         at = np.repeat(starts[codes] - (ends - lengths), lengths)
-        at += np.arange(len(at))
+        at += np.arange(len(at), dtype=np.int32)
         return np.frombuffer(b"".join(pool), "<u4")[at], ends[offsets[1:] + np.arange(len(texts))]
 
 
