@@ -46,6 +46,7 @@ AUTOMATON_PHRASES = 100_000
 BUCKETS = 8  # at least
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_DIGITS = 128  # three of them tell two million words apart
 _NONE = np.iinfo(np.uint64).max
 _NO_KEY = np.iinfo(np.int64).min
 
@@ -110,12 +111,9 @@ class Segment:
     def anchor_places(self) -> np.ndarray:
         """Places whose phrase is the anchor of a window."""
         # A phrase is one if the greatest of the anchors of the windows that hold it is itself.
-        reach = WINDOW - PHRASE
-        held = np.concatenate([np.zeros(reach, np.uint64), np.where(self.whole, self.anchors, 0).astype(np.uint64)])
-        best = held.copy()
-        for step in range(1, reach + 1):
-            best[reach:] = np.maximum(best[reach:], held[reach - step : len(held) - step])
-        return np.flatnonzero((best[reach:] == self.phrases) & (self.phrases != _NONE))
+        held = np.concatenate([np.zeros(WINDOW - PHRASE, np.uint64), np.where(self.whole, self.anchors, 0)])
+        best = _lowest(~held.astype(np.uint64))[: self.total]
+        return np.flatnonzero((~best == self.phrases) & (self.phrases != _NONE))
 
     def located(self, recurring: np.ndarray) -> np.ndarray:
         """Places of all recurring phrases, found by streaming the documents through their automaton."""
@@ -131,22 +129,23 @@ class Segment:
 
     def _streamed(self, phrases: np.ndarray) -> Iterator[int]:
         """Places in all documents of the phrases that stand at the given places."""
-        # A word of a phrase is a character (surrogates are left out); all other words are the first character.
+        # A word of a phrase is three characters, each from an alphabet of its own, so that phrases only match from
+        # a word's start and no state has many ways to go on. All other words are a character that no phrase has.
         used = np.unique(self.ids[(phrases[:, None] + np.arange(PHRASE)).ravel()])
-        symbols = np.arange(1, len(used) + 1)
-        symbols[symbols >= 0xD800] += 0x800
-        of_word = np.zeros(int(self.ids.max()) + 1, "<u4")
-        of_word[used] = symbols
-        text = of_word[self.ids].tobytes()
+        numbers = np.arange(len(used))
+        symbols = np.full((int(self.ids.max()) + 1, 3), 1, "<u4")
+        for digit in range(3):
+            symbols[used, digit] = 2 + digit * _DIGITS + numbers // _DIGITS**digit % _DIGITS
+        text = symbols[self.ids].tobytes()
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for place in phrases.tolist():
-            automaton.add_word(text[4 * place : 4 * (place + PHRASE)].decode("utf-32-le"), 1)
+            automaton.add_word(text[12 * place : 12 * (place + PHRASE)].decode("utf-32-le"), 1)
         automaton.make_automaton()
         for start, size in zip(self.starts.tolist(), self.lengths.tolist()):
             if size >= WINDOW:
-                own = text[4 * start : 4 * (start + size)].decode("utf-32-le")
+                own = text[12 * start : 12 * (start + size)].decode("utf-32-le")
                 for end, _ in automaton.iter(own):
-                    yield start + end - PHRASE + 1
+                    yield start + end // 3 - PHRASE + 1
 
     def candidates(self, recurring: np.ndarray) -> np.ndarray:
         """Starts of the windows whose anchor is among the phrases located."""
@@ -266,10 +265,13 @@ def _sent_windows(buckets: int, batches: Iterable[pa.RecordBatch]) -> Iterator[p
             segment = _of(row["documents"])
             segment.hash()
             at = segment.candidates(recurring)
-            pairs = np.rec.fromarrays([segment.windows[at], segment.second[at]])
-            _, first = np.unique(pairs, return_index=True)
-            later = np.ones(len(at), bool)
-            later[first] = False
+            # Stable sorting keeps equal windows in the order of their places.
+            order = np.lexsort((segment.second[at], segment.windows[at]))
+            ordered = at[order]
+            later = np.zeros(len(at), bool)
+            later[order[1:]] = (segment.windows[ordered[1:]] == segment.windows[ordered[:-1]]) & (
+                segment.second[ordered[1:]] == segment.second[ordered[:-1]]
+            )
             rows: list[tuple] = []
             if later.any():
                 rows.append((row["segment"] % buckets, row["segment"], True, None, None, None, at[later].astype("<u4").tobytes()))
