@@ -26,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitrine.llm.batches import rechunked
+from vitrine.llm.batches import rechunked, stored
 
 CHARS = 20_000
 TEXTS = 60
+BROADCAST_ROWS = 100_000  # of a language, a hash and a number: some megabytes
 PIECE = 512
 TEXT_PER_BATCH = 2 << 20
 UNDETERMINED = "und"
@@ -160,12 +161,14 @@ def plain(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
-def learn(documents: DataFrame, text: str, lang: str) -> dict[str, str]:
+def learn(spark: SparkSession, documents: DataFrame, text: str, lang: str) -> dict[str, str]:
     """At most ``CHARS`` letters of text per language from at most ``TEXTS`` texts."""
     usable = documents.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     marks = usable.select(F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("mark")).distinct()
     first = Window.partitionBy("lang").orderBy("mark")
-    chosen = marks.withColumn("n", F.row_number().over(first)).where(F.col("n") <= TEXTS)
+    chosen = stored(spark, marks.withColumn("n", F.row_number().over(first)).where(F.col("n") <= TEXTS), "chosen")
+    if chosen.count() <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
     rows = (
         usable.select(F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text"))
         .join(chosen, ["lang", "mark"])
@@ -194,7 +197,7 @@ def _judged(model, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def identify(spark: SparkSession, documents: DataFrame, text: str, labelled: Column, lang: str, *keep: Column) -> DataFrame:
     """The ``keep`` columns of each document with lang_pred and score; learned from the rows where ``labelled``."""
-    model = spark.sparkContext.broadcast(Model(learn(documents.where(labelled), text, lang)))
+    model = spark.sparkContext.broadcast(Model(learn(spark, documents.where(labelled), text, lang)))
     columns = documents.select(*keep, F.col(text).alias("__text"))
     kept = columns.drop("__text").schema
     return columns.mapInArrow(partial(_judged, model), kept.add("lang_pred", "string").add("score", "double"))
