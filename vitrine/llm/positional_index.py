@@ -28,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.batches import plain_words
+from vitrine.llm.batches import plain_words, stored
 from vitrine.session import scratch_dir
 
 SEGMENT_WORDS = 1_000_000
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
+BROADCAST_ROWS = 100_000  # of a key and a hash: some megabytes
 
 INDEX = (
     "segment long, doc_id array<long>, fingerprint array<long>, n_words array<long>, "
@@ -300,5 +301,9 @@ def decontaminate(
     index = build(spark, documents, key, text, scratch_dir(spark, "positions"))
     bad = judge(index, search(spark, index, benchmark, item, item_text)).where("contaminated")
     bad = bad.select(F.col("doc_id").alias("__key"), F.col("fingerprint").alias("__mark")).distinct()
+    # Few documents are contaminated as a rule: then no text is shuffled to leave them out.
+    bad = stored(spark, bad, "contaminated")
+    if bad.count() <= BROADCAST_ROWS:
+        bad = F.broadcast(bad)
     same = (F.xxhash64(documents[text]) == F.col("__mark")) & documents[key].cast("long").eqNullSafe(F.col("__key"))
     return documents.join(bad, same, "left_anti")
