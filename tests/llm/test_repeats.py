@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +69,31 @@ def test_small_table_and_empty_table(spark, tmp_path):
     assert sorted(map(repr, map(tuple, got))) == brute(rows)
     spark.read.parquet(f"{sf}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert queries.op4_repeats(spark, str(tmp_path)).count() == 0
+
+
+def test_windows_around_a_frequent_line_spread_over_the_buckets(spark):
+    """A line shorter than a window in every document: few anchors, but all windows differ."""
+    line = " ".join(f"line{i}" for i in range(19))
+    texts = [" ".join([*(f"a{n}_{i}" for i in range(15)), line, *(f"b{n}_{i}" for i in range(15))]) for n in range(400)]
+    documents = pa.RecordBatch.from_arrays(
+        [pa.array(range(400), pa.int64()), pa.array([t.encode() for t in texts], pa.binary())], names=["__key", "__text"]
+    )
+    packed = phrase_automata._packed([documents])
+    segment = phrase_automata._of(packed)
+    segment.hash()
+    found, counts = np.unique(segment.phrases[segment.anchor_places()], return_counts=True)
+    row = pa.RecordBatch.from_arrays(
+        [pa.array([0], pa.int64()), pa.array([packed], pa.binary()), pa.array([[found[counts > 1].tobytes()]], pa.list_(pa.binary()))],
+        names=["segment", "documents", "anchors"],
+    )
+    sizes = np.zeros(8, int)
+    for batch in phrase_automata._sent_windows(8, [row]):
+        for sent in batch.to_pylist():
+            if not sent["local"]:
+                sizes[sent["bucket"]] += len(sent["places"]) // 4
+    assert sizes.sum() > 4000 and sizes.max() < 1.2 * sizes.mean()
+
+    df = spark.createDataFrame([*enumerate(texts), (400, texts[7])], "doc_id long, text string")
+    rows = [tuple(r) for r in df.collect()]
+    got = phrase_automata.remove_repeats(spark, df, "doc_id", "text", F.col("doc_id"), segment_words=2000)
+    assert sorted(repr((r.doc_id, r.n_words, r.n_removed, r.kept_sha256)) for r in got.collect()) == brute(rows)

@@ -276,7 +276,8 @@ def _sent_windows(buckets: int, batches: Iterable[pa.RecordBatch]) -> Iterator[p
             if later.any():
                 rows.append((row["segment"] % buckets, row["segment"], True, None, None, None, at[later].astype("<u4").tobytes()))
             at = at[~later]
-            bucket = (mixed(segment.anchors[at]) % np.uint64(buckets)).astype(np.int64)
+            # Dealt by the window, not by its anchor: a frequent phrase is the anchor of many different windows.
+            bucket = (segment.windows[at] % np.uint64(buckets)).astype(np.int64)
             documents = np.searchsorted(segment.starts + segment.lengths, at, "right")
             keys = segment.keys[documents]
             for b in np.unique(bucket).tolist():
