@@ -114,6 +114,19 @@ def test_toxicity_of_tricky_texts(spark):
     assert {round(r.score, 3) for r in toxicity.score(spark, df, "text", nothing, F.col("doc_id")).collect()} == {0.0}
 
 
+def test_driver_gets_only_places_with_weights(spark, monkeypatch):
+    assert toxicity.SAMPLE == 8_000
+    texts = [("good day " if i % 2 else "you fool ") + " ".join(f"u{i}x{n}" for n in range(300)) for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(200)], "doc_id long, toxic int")
+    taught, train = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda rows, *known: taught.extend(rows) or train(rows, *known))
+    model = toxicity.learn(spark, documents(spark, texts), "doc_id", "text", labels, "toxic")
+    assert sorted(y for _, y in taught) == [0] * 100 + [1] * 100
+    assert {p for own, _ in taught for p in own.tolist()} == set(model.known)
+    assert set(toxicity.places(b"fool")) | set(toxicity.places(b"good")) <= set(model.known)
+    assert max(len(own) for own, _ in taught) < 20
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")

@@ -9,7 +9,9 @@ so a pair of terms can count for more or less than its two terms alone. The pair
 
 Training uses a bounded sample of labelled rows: at most ``SAMPLE`` of each label, in the order of a hash of the
 key, copies once. Terms whose share differs between the labels by ``Z`` standard errors or more have weights; the
-others have none, which keeps the noise of long texts out. Weights are trained by adaptive gradient descent. What the driver holds is bounded by the sample; whole texts are scored where they lie.
+others have none, which keeps the noise of long texts out. Places are counted by label in Spark, and the driver gets
+these counts (``2**BITS`` at most) and, of each sampled text, only the places that have weights. Weights are trained
+by adaptive gradient descent. Whole texts are scored where they lie.
 
 Defined results: a NULL, empty or wordless text has no terms and gets the score of the bias alone. Without labels
 of both kinds every score is the share of toxic rows, or 0 without any label. Where a key is labelled more than once
@@ -28,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.batches import plain_words
+from vitrine.llm.batches import plain_words, stored
 
 BITS = 22
-SAMPLE = 6_000
+SAMPLE = 8_000
 Z = 5.0
 LEAST_TEXTS = 5
 FACTORS = 8
@@ -81,8 +83,20 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def train(rows: list[tuple[np.ndarray, int]]) -> Model:
-    """Fit a model to texts given as arrays of distinct places, with labels 0 or 1."""
+def weighted(
+    seen: np.ndarray, texts_with: np.ndarray, toxic_with: np.ndarray, positive: float, negative: float
+) -> np.ndarray:
+    """Of the places seen those that get weights, by the numbers of texts and of toxic texts that hold them."""
+    pooled = texts_with / (positive + negative)
+    error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / positive + 1 / negative))
+    apart = np.abs(toxic_with / positive - (texts_with - toxic_with) / negative)
+    return np.sort(seen[(texts_with >= LEAST_TEXTS) & (apart / error >= Z)])
+
+
+def train(rows: list[tuple[np.ndarray, int]], known: np.ndarray | None = None) -> Model:
+    """Fit a model to texts given as arrays of distinct places, with labels 0 or 1.
+
+    ``known`` are the places that get weights; without it they are chosen from the texts."""
     labels = np.array([y for _, y in rows], float)
     positive, negative = labels.sum(), len(labels) - labels.sum()
     nothing = np.empty(0, np.int64)
@@ -90,21 +104,19 @@ def train(rows: list[tuple[np.ndarray, int]]) -> Model:
         bias = -30.0 if not positive else 30.0
         return Model(nothing, bias, np.empty(0), np.empty((0, FACTORS)))
     size = 1 << BITS
-    with_term, toxic = np.zeros(size, np.int32), np.zeros(size, np.int32)
-    for places_, label in rows:  # a text's places are distinct
-        with_term[places_] += 1
-        toxic[places_] += label
-    seen = np.flatnonzero(with_term >= LEAST_TEXTS)
-    texts_with, toxic_with = with_term[seen].astype(float), toxic[seen].astype(float)
-    pooled = texts_with / len(labels)
-    error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / positive + 1 / negative))
-    apart = np.abs(toxic_with / positive - (texts_with - toxic_with) / negative)
-    known = seen[apart / error >= Z]
+    if known is None:
+        with_term, toxic = np.zeros(size, np.int32), np.zeros(size, np.int32)
+        for places_, label in rows:  # a text's places are distinct
+            with_term[places_] += 1
+            toxic[places_] += label
+        seen = np.flatnonzero(with_term)
+        known = weighted(seen, with_term[seen].astype(float), toxic[seen].astype(float), positive, negative)
+        del with_term, toxic
 
     number = np.full(size, -1, np.int32)
     number[known] = np.arange(len(known))
     texts = [own[own >= 0] for own in (number[p] for p, _ in rows)]
-    del with_term, toxic, number
+    del number
     random = np.random.default_rng(SEED)
     linear, factors = np.zeros(len(known)), random.normal(0, 0.01, (len(known), FACTORS))
     bias = float(np.log(positive / negative))
@@ -143,7 +155,18 @@ def _hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for i in range(batch.num_rows):
             found = {p for word in set(plain_words(texts[i].as_py())) for p in places(word)}
-            rows.append(np.array(sorted(found), "<u4").tobytes())
+            rows.append(np.array(sorted(found), np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("toxic"), pa.array(rows, pa.list_(pa.int32()))], names=["toxic", "places"]
+        )
+
+
+def _kept(known, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text the places that have weights."""
+    for batch in batches:
+        lists = batch.column("places")
+        rows = [lists[i].values.to_numpy() for i in range(batch.num_rows)]
+        rows = [own[np.isin(own, known.value)].astype("<u4").tobytes() for own in rows]
         yield pa.RecordBatch.from_arrays(
             [batch.column("toxic"), pa.array(rows, pa.binary())], names=["toxic", "places"]
         )
@@ -161,10 +184,20 @@ def learn(spark: SparkSession, documents: DataFrame, key: str, text: str, labels
         .select("toxic", F.col(text).cast("binary").alias("text"))
         .dropDuplicates(["toxic", "text"])
     )
-    rows = texts.mapInArrow(_hashed, "toxic int, places binary").collect()
+    hashed = stored(spark, texts.mapInArrow(_hashed, "toxic int, places array<int>"), "toxic-sample")
+    sizes = {r.toxic: r["count"] for r in hashed.groupBy("toxic").count().collect()}
+    known = np.empty(0, np.int64)
+    if sizes.get(0) and sizes.get(1):
+        counts = hashed.select("toxic", F.explode("places").alias("place")).groupBy("place")
+        counts = counts.agg(F.count("*").alias("texts"), F.sum("toxic").alias("toxic"))
+        columns = counts.where(F.col("texts") >= LEAST_TEXTS).toArrow().columns
+        seen, texts_with, toxic_with = (c.to_numpy() for c in columns)
+        known = weighted(seen, texts_with, toxic_with, sizes[1], sizes[0])
+    sent = spark.sparkContext.broadcast(known)
+    rows = hashed.mapInArrow(partial(_kept, sent), "toxic int, places binary").collect()
     # The same model whatever the order of tasks.
     rows = sorted(((r.toxic, bytes(r.places)) for r in rows), key=lambda r: (r[0], len(r[1]), r[1]))
-    return train([(np.frombuffer(places_, "<u4"), label) for label, places_ in rows])
+    return train([(np.frombuffer(places_, "<u4"), label) for label, places_ in rows], known)
 
 
 def _scored(model, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
