@@ -127,6 +127,16 @@ def test_driver_gets_only_places_with_weights(spark, monkeypatch):
     assert max(len(own) for own, _ in taught) < 20
 
 
+def test_scores_follow_the_true_share_where_the_sample_is_cut(spark, monkeypatch):
+    """1,000 clean and 200 toxic texts that no word tells apart, of which 100 each are trained on."""
+    df = documents(spark, [f"filler{i} text" for i in range(1200)])
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(1200)], "doc_id long, toxic int")
+    for bound in (100, 8_000):
+        monkeypatch.setattr(toxicity, "SAMPLE", bound)
+        model = toxicity.learn(spark, df, "doc_id", "text", labels, "toxic")
+        assert model.score([]) == pytest.approx(1 / 6, abs=0.05)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")

@@ -8,7 +8,8 @@ into ``2**BITS`` places. The score of a text is the logistic function of
 so a pair of terms can count for more or less than its two terms alone. The pair sum takes linear time.
 
 Training uses a bounded sample of labelled rows: at most ``SAMPLE`` of each label, in the order of a hash of the
-key, copies once. Terms whose share differs between the labels by ``Z`` standard errors or more have weights; the
+key, copies once. Where the bound cuts the labels by different parts, the trained bias is put right by these parts,
+so scores follow the true share of toxic rows at every size. Terms whose share differs between the labels by ``Z`` standard errors or more have weights; the
 others have none, which keeps the noise of long texts out. Places are counted by label in Spark, and the driver gets
 these counts (``2**BITS`` at most) and, of each sampled text, only the places that have weights. Weights are trained
 by adaptive gradient descent. Whole texts are scored where they lie.
@@ -175,6 +176,7 @@ def _kept(known, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(spark: SparkSession, documents: DataFrame, key: str, text: str, labels: DataFrame, label: str) -> Model:
     """Train on at most ``SAMPLE`` documents of each label. ``labels`` holds the key and the label."""
     one = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("toxic"))
+    totals = {r.toxic: r["count"] for r in one.groupBy("toxic").count().collect()}
     ordered = one.orderBy(F.xxhash64(key), key)
     chosen = [ordered.where(F.col("toxic") == y).limit(SAMPLE) for y in (0, 1)]
     # No more than twice SAMPLE rows of a key and a number: bounded.
@@ -197,7 +199,12 @@ def learn(spark: SparkSession, documents: DataFrame, key: str, text: str, labels
     rows = hashed.mapInArrow(partial(_kept, sent), "toxic int, places binary").collect()
     # The same model whatever the order of tasks.
     rows = sorted(((r.toxic, bytes(r.places)) for r in rows), key=lambda r: (r[0], len(r[1]), r[1]))
-    return train([(np.frombuffer(places_, "<u4"), label) for label, places_ in rows], known)
+    model = train([(np.frombuffer(places_, "<u4"), label) for label, places_ in rows], known)
+    if sizes.get(0) and sizes.get(1):
+        # Each label was sampled with a share of its own: log(P/N) - log(p/n) of labelled and of chosen rows.
+        shares = [min(1.0, SAMPLE / totals[y]) for y in (0, 1)]
+        model.bias += float(np.log(shares[0] / shares[1]))
+    return model
 
 
 def _scored(model, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
