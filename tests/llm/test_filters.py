@@ -1,3 +1,5 @@
+import textwrap
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -86,6 +88,33 @@ def test_licences_as_sql(spark):
     assert rows[9].licences == "" and rows[12].licences == ""
 
 
+def test_wrapped_licences(spark):
+    known = licence_rules.SENTENCES
+
+    def wrapped(start, *numbers):
+        """Lines of some 50 letters, each with a comment sign."""
+        return textwrap.fill(" ".join(known[n] for n in numbers), 50, initial_indent=start, subsequent_indent=start)
+
+    apache = " ".join(known[n] for n in (6, 7, 8)) + " http://www.apache.org/licenses/LICENSE-2.0"
+    gpl = known[10] + " " + known[11] + " without even the implied warranty."
+    cases = [
+        ("MIT", wrapped("", 3) + "\n\n" + wrapped("", 4)),
+        ("MIT", wrapped(" * ", 3) + "\n *\n" + wrapped(" * ", 4)),
+        ("GPL-3.0-or-later", wrapped("# ", 10, 11)),
+        ("GPL-3.0-or-later", gpl),
+        ("GPL-3.0-or-later", textwrap.fill(gpl, 60)),
+        ("BSD", "All rights reserved.\n\n" + wrapped("    ", 16).replace("\n", "\r\n") + "\r\n\r\n1. x"),
+        ("Apache-2.0", apache),
+        ("Apache-2.0", textwrap.fill(apache, 40)),
+        ("Apache-2.0", known[6] + "\n" + known[7] + "\n" + known[8] + "\n\n    http://www.apache.org/"),
+        ("", wrapped("", 16).replace("\n", "\n\n")),
+        ("", "never " + " ".join(known[16].split()) + " x"),
+    ]
+    got = {r.doc_id: r for r in licence_rules.scan(documents(spark, [t for _, t in cases]), "doc_id", "text").collect()}
+    assert [got[i].licences for i in range(len(cases))] == [name for name, _ in cases]
+    assert [got[i].sentence_ids for i in (0, 3, 6)] == ["<3><4>", "<10><11>", "<6><7><8>"]
+
+
 @pytest.mark.parametrize("query", ["op8_url_filter", "op9_licences"])
 def test_native(spark, query):
     df = queries.queries()[query](spark, "/root/testdata/sf0.001")

@@ -5,8 +5,11 @@ known sentences, and the sequence of identifiers found is searched for each rule
 identifiers follow one another with no other known sentence between; what it takes is not open to later rules, so
 a full licence text, listed first, is not reported again as its short notice.
 
-A sentence ends with ``.``, ``!`` or ``?`` before a blank or the end, and at the end of a line. Normalised, it is in
-lower case with runs of anything but a-z and 0-9 as one space.
+A sentence ends with ``.``, ``!`` or ``?`` before a blank or the end, and at the end of a line; ``n_sentences`` counts
+these. Normalised, it is in lower case with runs of anything but a-z and 0-9 as one space. Known sentences are also
+found where lines are wrapped, with or without comment signs: they may go on over single line ends, but not over the
+end of a sentence or a line without letters and digits, and they may begin after, and end before, ``;`` or ``:``, and
+end before a web address. Where two known sentences begin at one place, the longer one counts.
 
 Defined results: a NULL or empty text has no sentences, an empty sequence and no licence. Repeated rows are scanned
 one by one, an empty table gives no rows. Whole texts are scanned, however long. Columns other than the key and
@@ -75,10 +78,15 @@ def normalised(sentence: str) -> str:
 
 
 def sentences(text: Column) -> Column:
-    """Normalised sentences of a text, empty ones left out."""
-    ended = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[.!?]+(?=\s|$)|\n", _END)
-    plain = F.regexp_replace(ended, f"[^a-z0-9{_END}]+", " ")
-    return F.filter(F.transform(F.split(plain, _END), lambda s: F.trim(s)), lambda s: s != "")
+    """The text normalised, with the ends of sentences, line ends, ``;`` and ``:`` left in."""
+    ended = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[.!?]+(?=\s|$)|\n[^a-z0-9]*\n", _END)
+    return F.regexp_replace(ended, f"[^a-z0-9\n;:{_END}]+", " ")
+
+
+def _pattern(forms: list[str]) -> str:
+    """Known sentences, longest first, between ends of sentences or lines, ``;`` or ``:``."""
+    known = "|".join(form.replace(" ", "[ \n;:]++") for form in sorted(forms, key=len, reverse=True))
+    return f"(?:^|[\n;:{_END}]) ?({known})(?= ?(?:\\z|[\n;:{_END}]|https?:|www ))"
 
 
 def _lines(known: dict[int, str]) -> dict[str, int]:
@@ -98,14 +106,17 @@ def scan(
     ``licences`` names each licence once, in the order of the alphabet, comma-joined.
     """
     lookup = F.create_map(*[F.lit(x) for pair in _lines(known).items() for x in pair])
+    pattern = F.lit(_pattern(list(_lines(known))))
     found = documents.select(F.col(key).alias("key"), sentences(F.col(text)).alias("all")).select(
         "key",
-        F.size("all").cast("long").alias("n_sentences"),
+        F.regexp_count("all", F.lit(f"[a-z0-9][^\n{_END}]*")).cast("long").alias("n_sentences"),
         F.array_join(
             F.transform(
-                # Of the sentences, only known ones are turned into numbers.
-                F.filter("all", lambda s: s.isin(list(_lines(known)))),
-                lambda s: F.concat(F.lit("<"), F.element_at(lookup, s).cast("string"), F.lit(">")),
+                # Only known sentences are turned into numbers.
+                F.regexp_extract_all("all", pattern, F.lit(1)),
+                lambda s: F.concat(
+                    F.lit("<"), F.element_at(lookup, F.regexp_replace(s, "[ \n;:]+", " ")).cast("string"), F.lit(">")
+                ),
             ),
             "",
         ).alias("sentence_ids"),
