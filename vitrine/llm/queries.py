@@ -16,10 +16,12 @@ from vitrine.llm import (
     phrase_automata,
     pivot_search,
     positional_index,
+    prefix_trie,
     token_index,
     toxicity,
     url_filter,
 )
+from vitrine.llm.batches import stored
 from vitrine.session import scratch_dir
 
 
@@ -120,6 +122,14 @@ def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    convs = stored(spark, prefix_trie.sequences(turns, "conv_id", "turn", "role", "text"), "conversations")
+    conv = F.col("conv")
+    heads = (F.crc32(conv.cast("string")) % 4).cast("int")
+    return prefix_trie.nodes(spark, prefix_trie.spliced(convs, conv - conv % 20, heads))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -132,4 +142,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_licences": op9_licences,
         "op10_token_index": op10_token_index,
+        "op11_prefix_trie": op11_prefix_trie,
     }
