@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vitrine.llm import (
     language,
     licence_rules,
+    metric_join,
     near_copies,
     packing,
     phrase_automata,
@@ -130,6 +131,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.nodes(spark, prefix_trie.spliced(convs, conv - conv % 20, heads))
 
 
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_vectors(spark, _table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id", "embedding")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -143,4 +148,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_licences": op9_licences,
         "op10_token_index": op10_token_index,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_near_vectors": op12_near_vectors,
     }
