@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import (
+    hard_negatives,
     language,
     licence_rules,
     metric_join,
@@ -135,6 +136,13 @@ def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_join.near_vectors(spark, _table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id", "embedding")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    vec_id, label = F.col("vec_id"), F.col("label")
+    changed = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(spark, vectors, "vec_id", changed, "embedding", vec_id % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -149,4 +157,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_token_index": op10_token_index,
         "op11_prefix_trie": op11_prefix_trie,
         "op12_near_vectors": op12_near_vectors,
+        "op13_hard_negatives": op13_hard_negatives,
     }
