@@ -222,3 +222,16 @@ def _reply_case(first: str, spaced: str) -> str:
     ]
     whens = " ".join(f"WHEN {i} THEN {case}" for i, case in enumerate(cases))
     return f"CASE p_partkey % 9 {whens} ELSE '{{\"produtos\":\"nada\"}}' END AS reply"
+
+
+def block_replies(blocks: DataFrame) -> DataFrame:
+    """A reply to each distinct block of pages: products, one of them broken, or no JSON."""
+    code = "substr(md5(block), 1, 8)"
+    one = f"""concat('{{"nome":"item ', length(block), '","preco":"R$ 1.359,87","codigo":"', {code}, '"}}')"""
+    two = f"""concat('{{"nome":null,"preco":12,"codigo":"', {code}, 'x"}}')"""
+    reply = (
+        f"CASE substr(md5(block), 9, 1) WHEN '0' THEN 'Nada encontrado' "
+        f"WHEN '1' THEN concat('{{\"produtos\":[', {one}, '}}') "
+        f"ELSE concat('Segue: {{\"produtos\":[', {one}, ', ', {two}, ']}} fim') END AS reply"
+    )
+    return blocks.select("block").distinct().selectExpr("sha2(block, 256) AS content", reply)

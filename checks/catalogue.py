@@ -6,6 +6,7 @@ Timestamps leave as zone-less ones, so they compare with DuckDB's plain TIMESTAM
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -24,15 +25,35 @@ from vitrine.functions import listing as lst
 from vitrine.operators import quality, replies
 from vitrine.operators.dedup import dedup, dedup_latest
 from vitrine.operators.html import html_blocks
-from vitrine.plans import layers, marts, reports
-from vitrine.plans.refresh import Names, refresh, rule_counts
+from vitrine.plans import layers, marts, merged, reports
+from vitrine.plans.refresh import Names, refresh
 from vitrine.session import configure, scratch_dir
 from vitrine.sinks.inbound import write_inbound
-from vitrine.sinks.tables import clustered, overlapping_files, write_stream_table, write_view
-from vitrine.sources.events import event_stream, type_events, with_event_time
-from vitrine.sources.listings import dataset, listing_batch, listing_stream
+from vitrine.sinks.tables import (
+    clustered,
+    clustered_on_each,
+    files_of_range,
+    overlapping_files,
+    write_stream_table,
+    write_view,
+)
+from vitrine.sinks.versions import publish_view
+from vitrine.sources.events import beats, event_stream, type_events, with_event_time, with_heartbeat
+from vitrine.sources.listings import (
+    checked_stream,
+    dataset,
+    good_listings,
+    listing_batch,
+    listing_stream,
+    quarantine,
+    write_checked,
+)
 from vitrine.streaming import consumer
+from vitrine.streaming.extraction import page_messages
+from vitrine.streaming.flush import flushed, write_flushed
 from vitrine.streaming.ingest import bronze_ingest
+from vitrine.streaming.keystore import KeyStore, dedup_stream
+from vitrine.streaming.rulelog import log_rules, logged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,6 +156,18 @@ def s1_listing_stream(spark, sf):
     return _streamed(spark, listing_stream(spark, _landed(spark, sf)), "listing-stream")
 
 
+def s1_quarantine(spark, sf):
+    """Listing lines of which some are cut off, sorted out by a checked stream."""
+    inbound, out = scratch_dir(spark, "inbound"), scratch_dir(spark, "checked")
+    line = F.to_json(F.struct(*fixed.MESSAGE_FIELDS), {"ignoreNullFields": "false"})
+    broken = F.col("preco") == "indisponivel"
+    cut = F.when(broken, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    _listings(spark, sf).select(cut).write.text(inbound)
+    _run(write_checked(checked_stream(spark, inbound), out, scratch_dir(spark, "checked-checkpoint")))
+    bad = quarantine(spark, out).select(*[F.lit(None).cast("string").alias(c) for c in schemas.LISTING.names], "text")
+    return good_listings(spark, out).withColumn("text", F.lit(None).cast("string")).unionByName(bad)
+
+
 def s2_listing_batch(spark, sf):
     return listing_batch(spark, _landed(spark, sf))
 
@@ -161,6 +194,37 @@ def k1_null_keys(spark, sf):
     return lines.agg(F.count("value").alias("rows"), null_key("desconto"), null_key("codigo"))
 
 
+def k2_flush(spark, sf):
+    """Rows of each flush of the landing files. A thin lane waits for its age, seconds here in place of a minute."""
+    path = scratch_dir(spark, "flushed")
+    events = _event_stream(spark, sf).select(*schemas.LISTING.names, "PartitionId", consumer.EVENT_TIME)
+    lane = F.coalesce(F.col("PartitionId") % 2, F.lit(-1))
+    due = flushed(events, consumer.EVENT_TIME, age_seconds=5, lane=lane)
+    query = write_flushed(due, path, scratch_dir(spark, "flushed-checkpoint"), by_flush=True)
+    try:
+        # Timers keep the stream going; it is done when all rows have landed.
+        expected = adapters.events(spark, sf).count()
+        deadline = time.monotonic() + 300
+        while _lines(spark, path).count() < expected:
+            if query.exception() is not None or time.monotonic() > deadline:
+                raise RuntimeError("the stream did not flush all rows") from query.exception()
+            time.sleep(1)
+    finally:
+        query.stop()
+    return _lines(spark, path).groupBy("lane", "flush", "reason").agg(F.count("*").alias("rows"))
+
+
+def _lines(spark, path: str) -> DataFrame:
+    """Landed lines with their folders; none as long as nothing has landed."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], "lane long, flush long, reason string")
+    found = spark.read.text(path)
+    if "lane" not in found.columns:
+        return spark.createDataFrame([], "lane long, flush long, reason string")
+    return found.select(F.col("lane").cast("long"), F.col("flush").cast("long"), "reason")
+
+
 def k3_stream_table(spark, sf):
     rows = _event_stream(spark, sf).select(*schemas.LISTING.names)
     checkpoint = scratch_dir(spark, "events-checkpoint")
@@ -174,6 +238,28 @@ def k4_write_view(spark, sf):
     return _stored(spark, _silver(spark, sf))
 
 
+def k4_published_view(spark, sf):
+    """Published twice; the second version is read."""
+    rows = _silver(spark, sf)
+    with _own_database(spark) as database:
+        target, root = f"{database}.published", scratch_dir(spark, "published")
+        publish_view(rows.where(F.col("numero_parcelas") > 3), target, "first", root=root)
+        publish_view(rows, target, "second", root=root)
+        return dataset(spark, target)
+
+
+def k5_both_keys(spark, sf):
+    """Of a table laid out by both keys, a twentieth of its time span touches a part of the files."""
+    rows = _silver(spark, sf)
+    size = max(1, _listings(spark, sf).count() // 256)
+    path = scratch_dir(spark, "both-keys")
+    raw = clustered_on_each(v1_known_codes(spark, sf), fixed.CLUSTER_KEYS)
+    layers.clean(raw).write.option("maxRecordsPerFile", size).parquet(path)
+    low, high = F.lit("1997-01-01").cast("timestamp"), F.lit("1997-05-01").cast("timestamp")
+    found = files_of_range(spark.read.schema(rows.schema).parquet(path), "extract", low, high)
+    return found.select((3 * F.col("touched_files") < F.col("files")).alias("few_files"), "rows")
+
+
 def k5_clustered_layout(spark, sf):
     # Laid out before it is parsed, so the sampling of ranges parses nothing.
     raw = clustered(v1_known_codes(spark, sf), fixed.CLUSTER_KEYS)
@@ -223,6 +309,17 @@ def x5_products_from_reply(spark, sf):
     return replies.products_from_reply(adapters.replies(spark, sf), "reply", "loja", asof)
 
 
+def x6_page_messages(spark, sf):
+    """Pages as a stream, the stored replies to their blocks, products, keyed messages."""
+    pages = adapters.pages(spark, sf).select("page_id", "html")
+    replies = adapters.block_replies(html_blocks(pages, "div", "ad"))
+    stored = scratch_dir(spark, "replies")
+    replies.write.parquet(stored)
+    stream = event_stream(spark, f"{sf}/pages.parquet*", "parquet", adapters.pages(spark, sf).schema)
+    asof = F.lit("2025-10-05 19:00:00").cast("timestamp")
+    return _streamed(spark, page_messages(stream, spark.read.parquet(stored), "loja", asof), "messages")
+
+
 # --- consumer ---------------------------------------------------------------
 
 
@@ -247,6 +344,18 @@ def c3_adjusted_stream(spark, sf):
     return _streamed(spark, typed.select("link", consumer.EVENT_TIME), "adjusted")
 
 
+def c3_out_of_order(spark, sf):
+    ordered = with_event_time(c1_typed_events(spark, sf), late="adjust", out_of_order="adjust")
+    return ordered.select("link", consumer.EVENT_TIME)
+
+
+def c3_out_of_order_stream(spark, sf):
+    schema = adapters.table(spark, sf, "events").schema
+    raw = event_stream(spark, f"{sf}/events.parquet*", "parquet", schema)
+    typed = with_event_time(type_events(adapters.raw_events(raw)), late="adjust", out_of_order="adjust")
+    return _streamed(spark, typed.select("link", consumer.EVENT_TIME), "in-order")
+
+
 def c4_passthrough(spark, sf):
     return consumer.passthrough(_events(spark, sf))
 
@@ -276,6 +385,15 @@ def c9_singleton_consumer_stream(spark, sf):
     return _streamed(spark, rows, "consumer")
 
 
+def c9_heartbeat_stream(spark, sf):
+    """The consumer's stream with heartbeats a day after each event: no window stays open."""
+    schema = adapters.table(spark, sf, "events").schema
+    raw = event_stream(spark, f"{sf}/events.parquet*", "parquet", schema)
+    ticks = beats(raw.select((F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("at")), "at")
+    events = with_event_time(with_heartbeat(type_events(adapters.raw_events(raw)), ticks))
+    return _streamed(spark, consumer.singleton_consumer(events, WINDOW_S, WINDOW_S), "beating")
+
+
 # --- dedup ------------------------------------------------------------------
 
 
@@ -284,6 +402,18 @@ def b1_stream_dedup(spark, sf):
     return _streamed(spark, rows.select(*fixed.STREAM_DEDUP_KEYS), "dedup")
 
 
+def b1_key_store(spark, sf):
+    """Dedup of the event stream by a table of known keys; the second run of the stream brings only repeats."""
+    store = KeyStore(scratch_dir(spark, "key-store"), tuple(fixed.STREAM_DEDUP_KEYS))
+    checkpoint, source = scratch_dir(spark, "key-store-checkpoint"), scratch_dir(spark, "key-store-input")
+    rows = _events(spark, sf).select(*schemas.LISTING.names)
+    for _ in range(2):
+        rows.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        _run(dedup_stream(stream, store, checkpoint))
+    return store.rows(spark).select(*fixed.STREAM_DEDUP_KEYS)
+
+
 def b2_batch_dedup(spark, sf):
     return dedup_latest(
         _listings(spark, sf), fixed.BATCH_DEDUP_KEYS, ["link", "origem", "extract"]
@@ -519,20 +649,21 @@ def q4_null_counts(spark, sf):
 
 
 def e0_streamed_rules(spark, sf):
-    """Rule counts of an ingest that takes one landing file per trigger."""
+    """Rule counts of an ingest over a restart, from the log of its table.
+
+    The first landing decides which scrape of an advert stays; the second one brings all scrapes, of which none does.
+    """
+    inbound, checkpoint = scratch_dir(spark, "inbound"), scratch_dir(spark, "rules-checkpoint")
+    path, log = scratch_dir(spark, "ingested"), scratch_dir(spark, "rules")
+    first = dedup_latest(_listings(spark, sf), fixed.STREAM_DEDUP_KEYS, ["extract"])
     with _own_database(spark) as database:
-        query = bronze_ingest(
-            spark,
-            _landed(spark, sf),
-            f"{database}.ingested",
-            scratch_dir(spark, "rules-checkpoint"),
-            scratch_dir(spark, "ingested"),
-            max_files_per_trigger=1,
-        )
-        counts = rule_counts(query, quality.BRONZE_RULES)
-    # Which scrape of a repeated advert arrives first is chance, so only this rule compares.
-    rows = [(name, *counts[name]) for name in ("required_columns",)]
-    return spark.createDataFrame(rows, "expectation string, passed_records long, failed_records long")
+        target = f"{database}.ingested"
+        for rows in (first, _listings(spark, sf)):
+            write_inbound(rows.withColumn("landed", F.current_timestamp()), inbound, "landed")
+            _run(bronze_ingest(spark, inbound, target, f"{checkpoint}/rows", path))
+            stored = spark.readStream.table(target)
+            _run(log_rules(stored, quality.BRONZE_RULES, log, f"{checkpoint}/rules"))
+    return logged(spark, log)
 
 
 def _suite(spark, rows: DataFrame | None, label: str, schema: T.StructType, **options) -> DataFrame:
@@ -607,18 +738,41 @@ def p2_refresh_incremental(spark, sf):
     return _refreshed(spark, [rows.where(early), rows], incremental=True)
 
 
+def p3_marts_merge(spark, sf):
+    """Current row and lowest price per code, merged from two parts of gold, the second after a restart."""
+    gold = _gold(spark, sf)
+    source, root = scratch_dir(spark, "gold"), scratch_dir(spark, "current")
+    checkpoint = scratch_dir(spark, "merge-checkpoint")
+    early = F.pmod(F.xxhash64("codigo", "preco"), F.lit(3)) > 0
+    with _own_database(spark) as database:
+        target = f"{database}.current_rows"
+        for rows in (gold.where(early), gold.where(~early)):
+            rows.write.mode("append").parquet(source)
+            stream = spark.readStream.schema(gold.schema).parquet(source)
+            _run(merged.merge_stream(stream, target, root, checkpoint, 64))
+        current = dataset(spark, target)
+        flat = current.select("codigo", "last.*", F.col("preco").alias("menor_preco"))
+        rows = flat.select("codigo", "nome", "origem", "memoria", "oled", "recomendacao", "link", "menor_preco")
+        # The partitions go with the database.
+        path = scratch_dir(spark, "merged")
+        rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        s1_listing_stream, s2_listing_batch,
-        k1_write_inbound, k1_null_keys, k3_stream_table, k4_write_view, k5_clustered_layout,
+        s1_listing_stream, s1_quarantine, s2_listing_batch,
+        k1_write_inbound, k1_null_keys, k2_flush, k3_stream_table, k4_write_view, k4_published_view,
+        k5_both_keys, k5_clustered_layout,
         k5_gold_layout, k6_product_events,
         x1_html_blocks, x2_reply_json_span, x3_brace_repair, x4_reply_products,
-        x5_products_from_reply,
-        c1_typed_events, c1_strict_discount, c3_adjusted_lateness, c3_adjusted_stream, c4_passthrough,
+        x5_products_from_reply, x6_page_messages,
+        c1_typed_events, c1_strict_discount, c3_adjusted_lateness, c3_adjusted_stream, c3_out_of_order,
+        c3_out_of_order_stream, c4_passthrough,
         c5_tumbling_count, c6_interval_join, c7_singletons, c8_listing_columns,
-        c9_singleton_consumer, c9_singleton_consumer_stream,
-        b1_stream_dedup, b2_batch_dedup, b3_bronze_ingest,
+        c9_singleton_consumer, c9_singleton_consumer_stream, c9_heartbeat_stream,
+        b1_stream_dedup, b1_key_store, b2_batch_dedup, b3_bronze_ingest,
         v1_known_codes,
     )
 }
@@ -655,7 +809,7 @@ QUERIES |= {
         r14_lineage_by_table,
         e0_streamed_rules, e1_bronze_rules, e2_silver_rules, e3_gold_rules, q4_null_counts,
         q6_bronze_suite, q6_silver_suite, q6_gold_suite, q6_failing_tables,
-        p1_refresh, p2_refresh_incremental,
+        p1_refresh, p2_refresh_incremental, p3_marts_merge,
     )
 }
 QUERIES |= {

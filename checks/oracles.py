@@ -386,10 +386,32 @@ def oracle_sql() -> dict[str, str]:
         EVENTS,
         result="""SELECT count(*) AS "rows", count(*) FILTER (desconto IS NULL) AS null_desconto,
   count(*) FILTER (codigo IS NULL) AS null_codigo FROM typed""",
+    )
+    sql["k2_flush"] = _with(
+        EVENTS,
+        ("lanes", "SELECT coalesce(PartitionId % 2, -1) AS lane, count(*) AS n FROM typed GROUP BY 1"),
+        result="""SELECT lane, flush, 'rows' AS reason, 2000::bigint AS "rows"
+FROM (SELECT lane, unnest(range(n // 2000)) AS flush FROM lanes)
+UNION ALL SELECT lane, n // 2000, 'age', n % 2000 FROM lanes WHERE n % 2000 > 0""",
+    )
+    sql["s1_quarantine"] = _with(
+        LISTINGS,
+        result=f"""SELECT {LISTING_COLUMNS}, NULL::varchar AS "text" FROM listings
+WHERE preco <> 'indisponivel'
+UNION ALL SELECT {', '.join('NULL' for _ in _RAW)}, left(line, length(line) - 1) FROM (
+  SELECT CAST(json_object('codigo', codigo, 'nome', nome, 'preco', preco, 'desconto', desconto, 'parcelamento',
+    parcelamento, 'link', link, 'origem', origem, 'extract', extract) AS VARCHAR) AS line
+  FROM listings WHERE preco = 'indisponivel')""",
     )
     sql["k3_stream_table"] = _with(EVENTS, result=f"SELECT {LISTING_COLUMNS} FROM typed")
     silver_rows = "SELECT * FROM silver"
     sql["k4_write_view"] = _with(*_TO_SILVER, result=silver_rows)
+    sql["k4_published_view"] = sql["k4_write_view"]
+    sql["k5_both_keys"] = _with(
+        *_TO_SILVER,
+        result="""SELECT true AS few_files, count(*) AS "rows" FROM silver
+WHERE extract BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-05-01'""",
+    )
     laid_out = "SELECT 0::bigint AS overlapping_files, count(*) AS \"rows\" FROM"
     sql["k5_clustered_layout"] = _with(*_TO_SILVER, result=f"{laid_out} silver")
     sql["k5_gold_layout"] = _with(*_TO_GOLD, result=f"{laid_out} gold")
@@ -424,6 +446,17 @@ FROM repaired r LEFT JOIN found f USING (p_partkey) GROUP BY r.p_partkey""",
         result=f"SELECT {_FIELDS}, 'loja' AS origem, '2025-10-05 19:00' AS extract FROM found",
     )
 
+    product = """'{"codigo":"' || code || '","nome":"item ' || length(block)::varchar ||
+  '","preco":"R$ 1.359,87","desconto":null,"parcelamento":null,"link":null,"origem":"loja","extract":"2025-10-05 19:00"}'"""
+    other = """'{"codigo":"' || code || 'x","nome":null,"preco":"12","desconto":null,"parcelamento":null,' ||
+  '"link":null,"origem":"loja","extract":"2025-10-05 19:00"}'"""
+    sql["x6_page_messages"] = f"""
+WITH blocks AS (
+  SELECT unnest(regexp_extract_all(html, '(?s)<div class="ad">.*?</div>')) AS block FROM pages
+), coded AS (SELECT block, left(md5(block), 8) AS code FROM blocks WHERE substr(md5(block), 9, 1) NOT IN ('0', '1'))
+SELECT code AS "key", {product} AS "value" FROM coded
+UNION ALL SELECT code || 'x', {other} FROM coded"""
+
     # consumer
     sql["c1_typed_events"] = _with(EVENTS, result="SELECT * FROM typed")
     sql["c1_strict_discount"] = _with(
@@ -435,6 +468,17 @@ FROM repaired r LEFT JOIN found f USING (p_partkey) GROUP BY r.p_partkey""",
   EventProcessedUtcTime - INTERVAL 5 SECOND) AS EventEnqueuedUtcTime FROM typed""",
     )
     sql["c3_adjusted_stream"] = sql["c3_adjusted_lateness"]
+    sql["c3_out_of_order"] = _with(
+        EVENTS,
+        (
+            "adjusted",
+            """SELECT link, PartitionId, EventProcessedUtcTime AS arrived,
+  greatest(EventEnqueuedUtcTime, EventProcessedUtcTime - INTERVAL 5 SECOND) AS moved FROM typed""",
+        ),
+        result="""SELECT link, CASE WHEN moved IS NOT NULL THEN max(moved) OVER (PARTITION BY PartitionId
+  ORDER BY arrived NULLS FIRST, moved NULLS FIRST ROWS UNBOUNDED PRECEDING) END AS EventEnqueuedUtcTime FROM adjusted""",
+    )
+    sql["c3_out_of_order_stream"] = sql["c3_out_of_order"]
     sql["c4_passthrough"] = _with(EVENTS, result="SELECT * FROM typed")
     sql["c5_tumbling_count"] = _with(EVENTS, COUNTS, result="SELECT * FROM counts")
     matched = f"""SELECT {', '.join(f'{c} AS left_{c}' for c in _RAW)},
@@ -457,10 +501,13 @@ FROM matches"""
         result=out + ' AND "Window_End_Time" <= (SELECT max(ts) - INTERVAL 5 SECOND FROM events)',
     )
 
+    sql["c9_heartbeat_stream"] = sql["c9_singleton_consumer"]
+
     # dedup
     sql["b1_stream_dedup"] = _with(
         EVENTS, result="SELECT DISTINCT codigo, preco, desconto, parcelamento FROM typed"
     )
+    sql["b1_key_store"] = sql["b1_stream_dedup"]
     sql["b2_batch_dedup"] = _with(
         LISTINGS,
         result=f"""SELECT {LISTING_COLUMNS} FROM (
@@ -655,9 +702,16 @@ WHERE starts_with("table", 'p') GROUP BY ALL""",
         LISTINGS,
         (
             "arrived",
-            "SELECT DISTINCT codigo, preco, desconto, parcelamento FROM listings",
+            """SELECT * FROM listings QUALIFY row_number() OVER (PARTITION BY codigo, preco, desconto, parcelamento
+  ORDER BY extract NULLS FIRST, nome NULLS FIRST, link NULLS FIRST, origem NULLS FIRST) = 1""",
+        ),
+        result=_rules(
+            "arrived",
+            [
+                ("required_columns", "codigo IS NOT NULL AND preco IS NOT NULL"),
+                ("extract_format", r"coalesce(regexp_full_match(extract, '\d{4}-\d{2}-\d{2} \d{2}:\d{2}'), false)"),
+            ],
         ),
-        result=_rules("arrived", [("required_columns", "codigo IS NOT NULL AND preco IS NOT NULL")]),
     )
     sql["e2_silver_rules"] = _with(
         *_TO_SILVER,
@@ -695,6 +749,12 @@ FROM matches WHERE "COUNT_codigo" = 1""",
         SILVER,
         result="SELECT codigo, preco, numero_parcelas, valor_prestacao, desconto FROM silver",
     )
+    sql["p3_marts_merge"] = _with(
+        *_TO_GOLD,
+        CURRENT,
+        result="""SELECT a.codigo, a.nome, a.origem, a.memoria, a.oled, a.recomendacao, a.link, g.menor_preco
+FROM actual a JOIN (SELECT codigo, min(preco) AS menor_preco FROM gold GROUP BY codigo) g USING (codigo)""",
+    )
     sql["p2_refresh_incremental"] = sql["p1_refresh"]
     wrong = sorted(c for c, _ in _SILVER_KINDS if c != "oled")
     right = sorted(c for c, _ in _SILVER_KINDS)

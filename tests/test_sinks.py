@@ -84,7 +84,7 @@ def test_refresh_twice(spark, tmp_path, incremental):
     for schema in ("rbronze", "rsilver", "rgold"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{tmp_path / schema}'")
     names = Names(
-        "rbronze.l", "rsilver.l", "rgold.r", "rgold.d", "rgold.p", "rgold.h", "rgold.s"
+        "rbronze.l", "rsilver.l", "rgold.r", "rgold.d", "rgold.p", "rgold.h", "rgold.s", "rgold.c"
     )
     inbound, checkpoint = str(tmp_path / "inbound"), str(tmp_path / "checkpoint")
     write_inbound(landed(adverts(spark, 40), "2025-10-05 19:00:00"), inbound, "at")

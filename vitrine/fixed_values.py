@@ -30,7 +30,9 @@ ADVICE_NONE = "Sem Vantagem Identificada"
 
 # --- fixed values: landing folders ---
 FOLDER_FORMAT = "yyyy-MM-dd_HH"
-# A flush waits for this time; the row minimum that also triggers one has no counterpart in Spark.
+# A flush waits for this many rows or this time, whichever comes first.
+FLUSH_ROWS = 2000
+FLUSH_SECONDS = 60
 FLUSH_EVERY = "1 minute"
 
 # --- fixed values: windowed consumer ---

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
@@ -41,6 +41,73 @@ def clustered(df: DataFrame, cluster_by: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*keys, *spread).sortWithinPartitions(*keys)
 
 
+CURVE_BITS = 6
+CURVE_SAMPLE = 8192
+
+
+def _cuts(df: DataFrame, columns: Sequence[str]) -> list[list]:
+    """Values that cut each column into 2 ** CURVE_BITS parts of about the same number of rows.
+
+    They come from the rows with the least hashes, a bounded number. They decide how files are laid out, no row.
+    """
+    hashed = df.select(*columns, F.xxhash64(*df.columns).alias("__hash"))
+    rows = hashed.orderBy("__hash").limit(CURVE_SAMPLE).select(*columns).collect()
+    parts = 2**CURVE_BITS
+    found = []
+    for i in range(len(columns)):
+        values = sorted(r[i] for r in rows if r[i] is not None)
+        found.append(sorted({values[len(values) * k // parts] for k in range(1, parts)}) if values else [])
+    return found
+
+
+def curve_key(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Place of a row on a curve through all of ``columns`` at once: the bits of their parts' numbers in turns.
+
+    NULL counts as the least value.
+    """
+    def place_among(bounds: Column, name: str) -> Column:
+        return F.size(F.filter(bounds, lambda bound: bound <= F.col(name)))
+
+    key = F.lit(0).cast("long")
+    for i, (name, cuts) in enumerate(zip(columns, _cuts(df, columns))):
+        place = F.lit(0)
+        if cuts:
+            kind = df.schema[name].dataType
+            bounds = F.array(*[F.lit(c).cast(kind) for c in cuts])
+            place = F.when(F.col(name).isNull(), F.lit(0)).otherwise(place_among(bounds, name))
+        for bit in range(CURVE_BITS + 1):
+            on = F.shiftright(place, bit).bitwiseAND(F.lit(1)).cast("long")
+            key = key.bitwiseOR(F.shiftleft(on, bit * len(columns) + i))
+    return key
+
+
+def clustered_on_each(df: DataFrame, cluster_by: Sequence[str]) -> DataFrame:
+    """Rows laid out so that a range of any one of ``cluster_by`` lies in few files.
+
+    ``clustered`` serves the first column; here each serves alike, and the first one less well. A hash of
+    the row ends the range key, so rows with equal values can fill several files.
+    """
+    keyed = df.withColumn("__curve", curve_key(df, cluster_by))
+    spread = F.xxhash64(*df.columns)
+    return keyed.repartitionByRange(F.col("__curve"), spread).sortWithinPartitions("__curve").drop("__curve")
+
+
+def files_of_range(df: DataFrame, column: str, low, high) -> DataFrame:
+    """How many files of a stored table may hold ``column`` from ``low`` to ``high`` by their least and greatest value.
+
+    One row: ``files``, ``touched_files`` and ``rows`` in the range.
+    """
+    value = F.col(column)
+    inside = value.between(F.lit(low), F.lit(high))
+    per_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(value).alias("low"), F.max(value).alias("high"), F.count_if(inside).alias("n")
+    )
+    touched = (F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low))
+    return per_file.agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(touched).alias("touched_files"), F.sum("n").alias("rows")
+    )
+
+
 def overlapping_files(df: DataFrame, column: str) -> DataFrame:
     """How many files of a stored table begin below the end of another, and its rows.
 

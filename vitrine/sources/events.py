@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from vitrine import fixed_values as fixed
 from vitrine import schemas
+from vitrine.operators.ordering import in_order
 
 
 def event_stream(
@@ -50,6 +51,35 @@ def broker_stream(spark: SparkSession, servers: str, topic: str, **options: str)
     return decode_broker(raw)
 
 
+def heartbeats(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
+    """Events of a reserved code whose time is the clock's."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    return beats(ticks, "timestamp")
+
+
+HEARTBEAT = "heartbeat"
+
+
+def beats(df: DataFrame, at: str) -> DataFrame:
+    """Events of a reserved code at the times ``at``, two for each: what is seen twice in its window comes to nothing.
+
+    Without a code, or with a filter on it later, Spark would leave them out before it sets the watermark.
+    """
+    times = ("EventProcessedUtcTime", "EventEnqueuedUtcTime")
+    values = {"codigo": F.lit(HEARTBEAT), **{name: F.col(at).cast("timestamp") for name in times}}
+    twice = df.select(at, F.explode(F.array(F.lit(1), F.lit(2))))
+    return twice.select(*[values.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in schemas.EVENT.fields])
+
+
+def with_heartbeat(events: DataFrame, beats: DataFrame) -> DataFrame:
+    """Events and heartbeats as one stream, before the event time is set.
+
+    An idle stream's watermark stands still, and its last windows never end. Heartbeats move it on; the consumer
+    lets none of them through.
+    """
+    return events.select(*schemas.EVENT.names).unionByName(beats)
+
+
 def type_events(df: DataFrame, strict_discount_record: bool = False) -> DataFrame:
     """The eleven event columns in their types; values that do not convert are NULL.
 
@@ -71,11 +101,15 @@ def with_event_time(
     late: str = "drop",
     delay: str = fixed.LATENESS,
     arrival: str = "EventProcessedUtcTime",
+    out_of_order: str = "keep",
+    partition: str = "PartitionId",
 ) -> DataFrame:
     """Set the event time and how late an event may come.
 
     ``drop`` leaves out events behind the watermark; ``adjust`` moves the time of a
     late event up to ``arrival`` minus ``delay``. A zone-less time is read as UTC.
+    ``out_of_order="adjust"`` then moves an event that comes behind a later one of its ``partition`` up to that
+    one's time (see ``in_order``), so that no tolerance for disorder is needed.
     """
     event_time = F.col(col).cast("timestamp")
     if late == "adjust":
@@ -84,4 +118,8 @@ def with_event_time(
     elif late != "drop":
         raise ValueError("late must be 'drop' or 'adjust'")
     df = df.withColumn(col, event_time)
+    if out_of_order == "adjust":
+        df = in_order(df, col, partition, arrival)
+    elif out_of_order != "keep":
+        raise ValueError("out_of_order must be 'keep' or 'adjust'")
     return df.withWatermark(col, delay) if df.isStreaming else df
