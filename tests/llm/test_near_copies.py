@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 from itertools import combinations
 
@@ -171,3 +172,47 @@ def test_recall_on_given_documents(spark):
     assert len(missed) <= 0.01 * len(near)
     linked = {i for p in near for i in p}
     assert all(i == c or i in linked for i, c in got.items())
+
+
+@pytest.mark.parametrize("block_rows", [1024, 7])
+def test_large_group_just_below_the_threshold(spark, monkeypatch, block_rows):
+    """Texts of one template of which few are similar: classes as from all pairs, whatever the blocks."""
+    monkeypatch.setattr(near_copies, "BLOCK_ROWS", block_rows)
+    chance = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for k in range(90):
+        words = list(base)
+        for at in chance.sample(range(120), chance.choice([1, 2, 3, 4])):
+            words[at] = f"x{k}-{at}"
+        rows.append((k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_copies.classes(spark, df, "doc_id", "text").collect()}
+    # Only substitutions, so the alignment's common k-mers are those of the bags.
+    wanted = {rows[i][0]: name for name, members in classes_of(rows).items() for i in members}
+    pairs = [(a, b) for a in got for b in got if a < b and wanted[a] == wanted[b]]
+    found = sum(got[a] == got[b] for a, b in pairs)
+    assert len(pairs) > 100 and found >= 0.9 * len(pairs)  # recall in a large group
+    assert all(wanted[a] == wanted[b] for a in got for b in got if a < b and got[a] == got[b])
+
+
+def test_bounds_keep_all_similar_pairs():
+    random_ = np.random.default_rng(4)
+    texts = []
+    for _ in range(60):
+        words = np.arange(80, dtype=np.uint64)
+        at = random_.choice(80, random_.integers(0, 6), replace=False)
+        words[at] = random_.integers(1000, 10**6, len(at))
+        texts.append(words)
+    n, bits = [], []
+    for words in texts:
+        runs = near_copies.labelled(near_copies.kmers(words))
+        marks = np.zeros(near_copies.BITS, np.uint8)
+        marks[(runs % np.uint64(near_copies.BITS)).astype(np.int64)] = 1
+        n.append(len(runs))
+        bits.append(np.packbits(marks).view(np.int64))
+    everyone = np.arange(60)
+    a, b = near_copies.possible_pairs(np.array(n), np.array(bits).view(np.uint64), everyone, everyone, everyone)
+    found = set(zip(a.tolist(), b.tolist()))
+    similar = {(i, j) for i in range(60) for j in range(60) if i != j and near_copies.similarity(texts[i], texts[j]) >= 0.8}
+    assert similar and similar <= found

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm.batches import stored
@@ -13,7 +13,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("b"), F.col("a")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     moved = both.where(F.col("b") > F.col("a")).join(least, "a")
-    return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")).distinct()
+    return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -35,8 +35,11 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     mark = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
     before = None
     while True:
-        now = stored(spark, _small_star(_large_star(now)), "links")
-        after = tuple(now.agg(F.count("*"), mark).first())
+        # The marks of a round are taken while it is written.
+        watch = Observation()
+        step = _small_star(_large_star(now)).observe(watch, F.count(F.lit(1)).alias("n"), mark.alias("mark"))
+        now = stored(spark, step, "links")
+        after = (watch.get["n"], watch.get["mark"])
         if after == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = after

@@ -13,9 +13,10 @@ Texts with equal words are one node from the start, whatever their number. Nodes
 
 1. Each node is compared with the most popular node it shares a key with (the one with the most candidates), so
    a group of any size gives one pair per node.
-2. Where a key joins nodes that are still in different classes, all pairs across classes are compared, but for those
-   that cannot be similar by length or by a bound on the common k-mers (bits of one text that the other lacks). Pairs
-   within a class are never made: they could not change it. So no candidate link is lost, without making all pairs.
+2. Where a key joins nodes that are still in different classes, its nodes lie in blocks, and pairs of blocks are compared
+   inside tasks: all pairs across classes, but for those that cannot be similar by length or by a bound on the common
+   k-mers (bits of one text that the other lacks), or whose classes have been joined meanwhile. Pairs are never
+   rows; a pair of blocks passes on links that join two classes only. So no candidate link is lost.
 
 Defined results: a text that is NULL or has no words is a class of its own, even among copies. Repeated rows
 are one class. The class of documents is named by its smallest key; a class without keys has NULL. An empty table
@@ -41,6 +42,9 @@ SIMILARITY = 0.8
 TABLES = 20
 PER_TABLE = 3
 BITS = 1024
+BLOCK_ROWS = 1024
+BLOCK_BYTES = 16 << 20
+PAIRS_AT_ONCE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _SEED = 11
 
@@ -165,8 +169,11 @@ def _matched(a: np.ndarray, b: np.ndarray, most: int) -> list[int] | None:
     return runs
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of common k-mers by alignment; 0 if it cannot reach ``SIMILARITY``."""
+def similarity(a: np.ndarray, b: np.ndarray, runs: tuple[np.ndarray, np.ndarray] | None = None) -> float:
+    """Share of common k-mers by alignment; 0 if it cannot reach ``SIMILARITY``.
+
+    ``runs`` are the labelled k-mers of both, if they are known.
+    """
     own, other = max(1, len(a) - KMER + 1), max(1, len(b) - KMER + 1)
     least = SIMILARITY / (1 + SIMILARITY) * (own + other) - 1e-9  # common k-mers that are needed
     if min(own, other) < least:
@@ -174,7 +181,8 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     if min(len(a), len(b)) < KMER:
         return float(np.array_equal(a, b))
     # The common k-mers of an alignment are no more than those of the bags, which are faster to count.
-    runs = [labelled(kmers(x.astype(np.uint64))) for x in (a, b)]
+    if runs is None:
+        runs = tuple(labelled(kmers(x.astype(np.uint64))) for x in (a, b))
     if len(np.intersect1d(*runs, assume_unique=True)) < least:
         return 0.0
     # An edit spoils at least one k-mer.
@@ -210,38 +218,131 @@ def _popular_pairs(spark: SparkSession, members: DataFrame) -> DataFrame:
     return best.select(F.col("node").alias("a"), F.col("leader.node").alias("b"))
 
 
-def _cross_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of nodes of different classes that share a key and may be similar."""
+def possible_pairs(
+    n: np.ndarray, bits: np.ndarray, classes: np.ndarray, first: np.ndarray, others: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a row of ``first`` and one of ``others`` (row numbers) of different classes that may be similar.
+
+    The common k-mers of two texts are no more than those of one, less the bits that the other lacks.
+    """
+    rows, columns = [], []
+    step = max(1, PAIRS_AT_ONCE // max(1, len(others)))
+    for start in range(0, len(first), step):
+        own = first[start : start + step]
+        least = SIMILARITY / (1 + SIMILARITY) * (n[own][:, None] + n[others][None, :]) - 1e-6
+        fits = (classes[own][:, None] != classes[others][None, :]) & (own[:, None] != others[None, :])
+        fits &= np.minimum(n[own][:, None], n[others][None, :]) >= least
+        if not fits.any():
+            continue
+        lacks = np.zeros(fits.shape, np.int64)
+        lacked = np.zeros(fits.shape, np.int64)
+        for w in range(bits.shape[1]):
+            x, y = bits[own, w][:, None], bits[others, w][None, :]
+            lacks += np.bitwise_count(x & ~y)
+            lacked += np.bitwise_count(y & ~x)
+        fits &= (n[own][:, None] - lacks >= least) & (n[others][None, :] - lacked >= least)
+        i, j = np.nonzero(fits)
+        rows.append(own[i])
+        columns.append(others[j])
+    none = np.empty(0, np.int64)
+    return (np.concatenate(rows), np.concatenate(columns)) if rows else (none, none)
+
+
+def links_of_group(group: list[tuple], same: bool) -> list[tuple[bytes, bytes]]:
+    """Pairs of classes that a link joins among rows (table, root, in_second, n, keys, bits, words) of one key.
+
+    Rows of the first block meet those of the second, or each other (``same``). Each pair is looked at under the first key
+    that it shares, and only as long as its classes are not joined yet.
+    """
+    table = group[0][0]
+    names = [g[1] for g in group]
+    numbers = {name: i for i, name in enumerate(dict.fromkeys(names))}
+    classes = np.array([numbers[name] for name in names])
+    if len(numbers) < 2:
+        return []
+    second = np.array([g[2] for g in group])
+    n = np.array([g[3] for g in group], np.int64)
+    keys = np.array([g[4] for g in group], np.int64)
+    # Signed numbers would be counted by their absolute value.
+    bits = np.array([g[5] for g in group], np.int64).view(np.uint64)
+    everyone = np.arange(len(group))
+    first, others = (everyone, everyone) if same else (everyone[~second], everyone[second])
+    a, b = possible_pairs(n, bits, classes, first, others)
+    if same:
+        a, b = a[a < b], b[a < b]
+    for earlier in range(table):
+        new = keys[a, earlier] != keys[b, earlier]
+        a, b = a[new], b[new]
+    joined = list(range(len(numbers)))
+
+    def root(i: int) -> int:
+        while joined[i] != i:
+            joined[i] = joined[joined[i]]
+            i = joined[i]
+        return i
+
+    words, runs = {}, {}
+    by_number = list(numbers)
+    out = []
+    for i, j in zip(a.tolist(), b.tolist()):
+        x, y = root(classes[i]), root(classes[j])
+        if x == y:
+            continue
+        for k in (i, j):
+            if k not in words:
+                words[k] = np.frombuffer(group[k][6], "<u4")
+                runs[k] = np.sort(labelled(kmers(words[k].astype(np.uint64))))
+        if similarity(words[i], words[j], (runs[i], runs[j])) >= SIMILARITY - 1e-9:
+            joined[max(x, y)] = min(x, y)
+            out.append((by_number[x], by_number[y]))
+    return out
+
+
+def _joined_classes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between classes, from rows sorted by key and pair of blocks."""
+    names = ("key", "i", "j", "table", "root", "block", "n", "keys", "bits", "words")
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    now, held = None, []
+
+    def found() -> pa.RecordBatch:
+        links = links_of_group(held, now[1] == now[2])
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], schema=schema)
+
+    for batch in batches:
+        columns = [batch.column(name).to_pylist() for name in names]
+        for key, i, j, table, root, block, *rest in zip(*columns):
+            if now != (key, i, j):
+                if held:
+                    yield found()
+                now, held = (key, i, j), []
+            held.append((table, root, block == j, *rest))
+    if held:
+        yield found()
+
+
+def _class_links(members: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of nodes that share a key.
+
+    The nodes of a key lie in blocks of a bounded size by a hash, and each pair of blocks is compared where it lies: rows
+    grow with nodes times blocks of their key, pairs are never rows.
+    """
     classed = members.select("table", "key", "node").join(roots, "node", "left")
     classed = classed.select("table", "key", "node", F.coalesce("root", "node").alias("root"))
-    mixed_keys = classed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    mixed_keys = mixed_keys.where(F.col("least") != F.col("most")).select("key")
-    # Columns of their own make a join condition that Spark can compile.
-    words = [F.element_at("bits", i + 1).alias(f"bits{i}") for i in range(BITS // 64)]
-    keys = [F.element_at("keys", i + 1).alias(f"key{i}") for i in range(TABLES)]
-    rows = classed.join(mixed_keys, "key", "left_semi").join(nodes.select("node", "n", *words, *keys), "node")
-    a, b = rows.alias("a"), rows.alias("b")
-
-    def own(side: str, other: str) -> Column:
-        """K-mers of one side, less a sure number of those that the other lacks."""
-        lacking = [
-            F.bit_count(F.col(f"{side}.bits{i}").bitwiseAND(F.bitwise_not(F.col(f"{other}.bits{i}"))))
-            for i in range(BITS // 64)
-        ]
-        return F.col(f"{side}.n") - sum(lacking)
-
-    least = F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("a.n") + F.col("b.n")) - 1e-6
-    possible = (
-        (F.col("a.root") < F.col("b.root"))
-        & (F.least(F.col("a.n"), F.col("b.n")) >= least)
-        & (own("a", "b") >= least)
-        & (own("b", "a") >= least)
+    sized = classed.join(nodes.select("node", F.octet_length("words").alias("bytes")), "node")
+    mixed_keys = sized.groupBy("key").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("rows"), F.sum("bytes").alias("bytes")
+    )
+    mixed_keys = mixed_keys.where(F.col("least") != F.col("most"))
+    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("bytes") / BLOCK_BYTES)).cast("int")
+    rows = classed.join(mixed_keys.select("key", blocks.alias("blocks")), "key")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    paired = rows.withColumn("other", other).select(
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "table", "root", "block", "node"
     )
-    # A pair is made at the first key that it shares.
-    for table in range(TABLES - 1):
-        possible &= ~((F.col("a.table") > table) & (F.col(f"a.key{table}") == F.col(f"b.key{table}")))
-    joined = a.join(b, (F.col("a.key") == F.col("b.key")) & possible)
-    return joined.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    full = paired.join(nodes.select("node", "n", "keys", "bits", "words"), "node").drop("node")
+    group = ["key", "i", "j"]
+    return full.repartition(*group).sortWithinPartitions(*group).mapInArrow(_joined_classes, "a binary, b binary")
 
 
 def _classes(spark: SparkSession, documents: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -264,8 +365,11 @@ def _classes(spark: SparkSession, documents: DataFrame, key: str, text: str) ->
 
     links = stored(spark, _links(_popular_pairs(spark, members), nodes), "links")
     roots = components(spark, links)
-    more = stored(spark, _links(_cross_pairs(members, nodes, roots), nodes), "links")
-    return signed, components(spark, links.union(more))
+    # Classes are joined by the links between them; the nodes' own links are not needed again.
+    more = stored(spark, _class_links(members, nodes, roots), "class-links")
+    upper = components(spark, more).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    below = roots.join(upper, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return signed, below.union(upper.select("root", "top"))
 
 
 def classes(spark: SparkSession, documents: DataFrame, key: str, text: str) -> DataFrame:
