@@ -197,9 +197,10 @@ def k1_null_keys(spark, sf):
 def k2_flush(spark, sf):
     """Rows of each flush of the landing files. A thin lane waits for its age, seconds here in place of a minute."""
     path = scratch_dir(spark, "flushed")
-    events = _event_stream(spark, sf).select(*schemas.LISTING.names, "PartitionId", consumer.EVENT_TIME)
+    events = _event_stream(spark, sf).select(*schemas.LISTING.names, "PartitionId")
     lane = F.coalesce(F.col("PartitionId") % 2, F.lit(-1))
-    due = flushed(events, consumer.EVENT_TIME, age_seconds=5, lane=lane)
+    # Folders by the hour of landing: by the hour of the event, a backlog of weeks is a file or two per hour.
+    due = flushed(events.withColumn("landed", F.current_timestamp()), "landed", age_seconds=5, lane=lane)
     query = write_flushed(due, path, scratch_dir(spark, "flushed-checkpoint"), by_flush=True)
     try:
         # Timers keep the stream going; it is done when all rows have landed.
@@ -420,13 +421,25 @@ def b2_batch_dedup(spark, sf):
     )
 
 
+def _landed_twice(spark, sf) -> Iterator[str]:
+    """A folder of landing files, after each of two landings: one scrape of each advert, then all scrapes.
+
+    The first landing decides which scrape stays.
+    """
+    inbound = scratch_dir(spark, "inbound")
+    first = dedup_latest(_listings(spark, sf), fixed.STREAM_DEDUP_KEYS, ["extract"])
+    for rows in (first, _listings(spark, sf)):
+        write_inbound(rows.withColumn("landed", F.current_timestamp()), inbound, "landed")
+        yield inbound
+
+
 def b3_bronze_ingest(spark, sf):
-    checkpoint = scratch_dir(spark, "bronze-checkpoint")
-    path = scratch_dir(spark, "ingested")
+    checkpoint, path = scratch_dir(spark, "bronze-checkpoint"), scratch_dir(spark, "ingested")
     with _own_database(spark) as database:
         target = f"{database}.ingested"
-        _run(bronze_ingest(spark, _landed(spark, sf), target, checkpoint, path))
-        return dataset(spark, target).select(*fixed.STREAM_DEDUP_KEYS)
+        for inbound in _landed_twice(spark, sf):
+            _run(bronze_ingest(spark, inbound, target, checkpoint, path))
+        return dataset(spark, target)
 
 
 # --- cleaning ---------------------------------------------------------------
@@ -528,8 +541,21 @@ def n4_produtos_ordered(spark, sf):
     return _placed(spark, n2_produtos(spark, sf), "codigo")
 
 
+def _written(spark, rows: DataFrame, label: str) -> DataFrame:
+    """The rows from a folder: whatever reads them several times derives them once."""
+    path = scratch_dir(spark, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _offered_gold(spark, sf) -> DataFrame:
+    """Gold with the columns of offers and prices."""
+    wanted = dict.fromkeys([*marts.OFFER, "memoria", "numero_parcelas", "valor_prestacao", "desconto", "extract"])
+    return _written(spark, _gold(spark, sf).select(*wanted), "offered")
+
+
 def m1_offer_join(spark, sf):
-    return marts.offers_from_gold(_gold(spark, sf))
+    return marts.offers_from_gold(_offered_gold(spark, sf))
 
 
 def m2_oled_offers(spark, sf):
@@ -537,7 +563,7 @@ def m2_oled_offers(spark, sf):
 
 
 def m3_known_marketplace(spark, sf):
-    return marts.offers_from_gold(_gold(spark, sf), fixed.OLED_YES)
+    return marts.offers_from_gold(_offered_gold(spark, sf), fixed.OLED_YES)
 
 
 def m4_mask_code(spark, sf):
@@ -556,7 +582,7 @@ def m6_top1_by_marketplace(spark, sf):
 
 
 def m7_sugestion(spark, sf):
-    gold = _gold(spark, sf)
+    gold = _offered_gold(spark, sf)
     return marts.suggestion(marts.products(gold), marts.prices(gold), marts.details(gold))
 
 
@@ -649,17 +675,12 @@ def q4_null_counts(spark, sf):
 
 
 def e0_streamed_rules(spark, sf):
-    """Rule counts of an ingest over a restart, from the log of its table.
-
-    The first landing decides which scrape of an advert stays; the second one brings all scrapes, of which none does.
-    """
-    inbound, checkpoint = scratch_dir(spark, "inbound"), scratch_dir(spark, "rules-checkpoint")
+    """Rule counts of an ingest over a restart, from the log of its table."""
+    checkpoint = scratch_dir(spark, "rules-checkpoint")
     path, log = scratch_dir(spark, "ingested"), scratch_dir(spark, "rules")
-    first = dedup_latest(_listings(spark, sf), fixed.STREAM_DEDUP_KEYS, ["extract"])
     with _own_database(spark) as database:
         target = f"{database}.ingested"
-        for rows in (first, _listings(spark, sf)):
-            write_inbound(rows.withColumn("landed", F.current_timestamp()), inbound, "landed")
+        for inbound in _landed_twice(spark, sf):
             _run(bronze_ingest(spark, inbound, target, f"{checkpoint}/rows", path))
             stored = spark.readStream.table(target)
             _run(log_rules(stored, quality.BRONZE_RULES, log, f"{checkpoint}/rules"))
@@ -700,24 +721,50 @@ def q6_failing_tables(spark, sf):
 
 
 def _one_check(check: str) -> Query:
-    return lambda spark, sf: q6_gold_suite(spark, sf).where(F.col("check") == check)
+    """One check of gold under a name of the session's catalog; nothing is stored for it."""
+
+    def query(spark, sf):
+        name = f"gold_{uuid.uuid4().hex}"
+        _gold(spark, sf).createTempView(name)
+        try:
+            found = quality.run_suite(spark, name, schemas.GOLD).where(F.col("check") == check)
+            return found.withColumn("dataset", F.lit("gold.recommendations"))
+        finally:
+            spark.catalog.dropTempView(name)
+
+    return query
 
 
 # --- the whole chain ---------------------------------------------------------
 
 
 def _refreshed(spark, landings: list[DataFrame], incremental: bool) -> DataFrame:
-    """Price history after a refresh of all layers for each of the landings."""
+    """Rows of every layer after a refresh for each of the landings.
+
+    Which scrape of an advert arrives first is chance, so the columns that do not depend on it are compared.
+    """
     inbound, checkpoint = scratch_dir(spark, "inbound"), scratch_dir(spark, "refresh-checkpoint")
-    history = scratch_dir(spark, "history")
+    parsed = ["preco", "numero_parcelas", "valor_prestacao", "desconto"]
     with _own_database(spark) as database:
         names = Names(*[f"{database}.{f.name}" for f in fields(Names)])
         for rows in landings:
             write_inbound(rows, inbound, consumer.EVENT_TIME)
             refresh(spark, inbound, checkpoint, CDI_PCT, names, incremental, max_files_per_trigger=500)
+        layers_of = {
+            "bronze": dataset(spark, names.bronze).select("codigo"),
+            "silver": dataset(spark, names.silver).select("codigo", *parsed),
+            "gold": dataset(spark, names.gold).select("codigo", *parsed, "recomendacao"),
+            "detalhes": dataset(spark, names.details).select("codigo"),
+            "produtos": dataset(spark, names.products).select("codigo"),
+            "precos": dataset(spark, names.prices).select("codigo", *parsed),
+            "sugestion": dataset(spark, names.suggestion).select("codigo", "recomendacao"),
+        }
+        found = None
+        for layer, rows in layers_of.items():
+            rows = rows.withColumn("layer", F.lit(layer))
+            found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
         # The tables go with the database.
-        dataset(spark, names.prices).drop("data").write.parquet(history)
-    return spark.read.parquet(history)
+        return _written(spark, found, "layers")
 
 
 def _consumed(spark, sf) -> DataFrame:

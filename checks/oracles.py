@@ -122,8 +122,9 @@ def _gold(discount: str = "desconto") -> tuple[str, str]:
     return (
         "gold",
         f"""
-SELECT *, CASE sign({discount} - pct_preco_parcelado) WHEN -1 THEN 'Comprar Parcelado'
-  WHEN 1 THEN 'Comprar a Vista Pix' ELSE 'Sem Vantagem Identificada' END AS recomendacao
+SELECT *, CASE WHEN {discount} < pct_preco_parcelado THEN 'Comprar Parcelado'
+  WHEN {discount} > pct_preco_parcelado THEN 'Comprar a Vista Pix'
+  ELSE 'Sem Vantagem Identificada' END AS recomendacao
 FROM breakdown""",
     )
 
@@ -189,6 +190,14 @@ FROM typed l JOIN counts r ON l.codigo = r.codigo
 
 LISTING_COLUMNS = "desconto, codigo, nome, preco, parcelamento, link, origem, extract"
 
+# One scrape of each advert, the earliest by text.
+ARRIVED = (
+    "arrived",
+    """
+SELECT * FROM listings QUALIFY row_number() OVER (PARTITION BY codigo, preco, desconto, parcelamento
+  ORDER BY extract NULLS FIRST, nome NULLS FIRST, link NULLS FIRST, origem NULLS FIRST) = 1""",
+)
+
 # --- operational tables -----------------------------------------------------
 
 
@@ -515,9 +524,7 @@ FROM matches"""
     ORDER BY link NULLS FIRST, origem NULLS FIRST, extract NULLS FIRST) AS n FROM listings
 ) WHERE n = 1""",
     )
-    sql["b3_bronze_ingest"] = _with(
-        LISTINGS, result="SELECT DISTINCT codigo, preco, desconto, parcelamento FROM listings"
-    )
+    sql["b3_bronze_ingest"] = _with(LISTINGS, ARRIVED, result=f"SELECT {LISTING_COLUMNS} FROM arrived")
 
     # cleaning, one step at a time
     kept = "SELECT * FROM listings WHERE codigo IS NOT NULL"
@@ -700,11 +707,7 @@ WHERE starts_with("table", 'p') GROUP BY ALL""",
     )
     sql["e0_streamed_rules"] = _with(
         LISTINGS,
-        (
-            "arrived",
-            """SELECT * FROM listings QUALIFY row_number() OVER (PARTITION BY codigo, preco, desconto, parcelamento
-  ORDER BY extract NULLS FIRST, nome NULLS FIRST, link NULLS FIRST, origem NULLS FIRST) = 1""",
-        ),
+        ARRIVED,
         result=_rules(
             "arrived",
             [
@@ -747,7 +750,16 @@ WHERE starts_with("table", 'p') GROUP BY ALL""",
 FROM matches WHERE "COUNT_codigo" = 1""",
         ),
         SILVER,
-        result="SELECT codigo, preco, numero_parcelas, valor_prestacao, desconto FROM silver",
+        BREAKDOWN,
+        GOLD,
+        result="""
+SELECT 'bronze' AS layer, codigo, NULL AS preco, NULL AS numero_parcelas, NULL AS valor_prestacao, NULL AS desconto,
+  NULL AS recomendacao FROM listings
+UNION ALL SELECT l, codigo, preco, numero_parcelas, valor_prestacao, desconto, NULL
+  FROM silver, (SELECT unnest(['silver', 'precos']) AS l)
+UNION ALL SELECT 'gold', codigo, preco, numero_parcelas, valor_prestacao, desconto, recomendacao FROM gold
+UNION ALL SELECT l, codigo, NULL, NULL, NULL, NULL, NULL
+  FROM (SELECT DISTINCT codigo FROM silver), (SELECT unnest(['detalhes', 'produtos']) AS l)""",
     )
     sql["p3_marts_merge"] = _with(
         *_TO_GOLD,
