@@ -18,7 +18,8 @@ TRICKY = [
     "  head",
     "a \n  b\r\n c\x0b\x0c d\x1e e\x1c\x1df",
     "Straße ÉCOLE e\u0301cole Σίσυφος ΟΔΥΣΣΕΥΣ \u00a0 nbsp\u2003em",
-    "<|endoftext|> and <|startoftext|> are text",
+    "<|endoftext|> and <|startoftext|> are special",
+    "a<|ENDOFTEXT|>b <|x",
     "日本語 and 한국어 \U0001f600\U0001f600!",
     "x" * 3000,
     "word " * 5000,
@@ -35,7 +36,6 @@ def documents(spark, texts, start=0):
 
 def ids(name: str, text: str | None) -> list[int]:
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
 
 
