@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -33,6 +34,16 @@ def test_search_without_vectors_or_queries(spark):
         assert pivot_search.search(spark, part, "vec_id", "embedding", F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_scores_never_wrap(spark):
+    schema = "vec_id long, embedding array<double>"
+    large = spark.createDataFrame([(0, [4e9, 1.0]), (1, [3.9e9, 1.0])], schema)
+    with pytest.raises(Exception, match="64 bits"):
+        pivot_search.search(spark, large, "vec_id", "embedding", F.col("vec_id") == 0, scale=1).collect()
+    fits = spark.createDataFrame([(0, [2e9, 1.0]), (1, [2e9, 1.0])], schema)
+    (row,) = pivot_search.search(spark, fits, "vec_id", "embedding", F.col("vec_id") == 0, scale=1).collect()
+    assert row.score == 4 * 10**18 + 1
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.data())
 def test_elimination_keeps_the_best(data):

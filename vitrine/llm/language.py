@@ -7,8 +7,9 @@ phrase costs the bits of naming a place in that language's text, so that languag
 All automata are one table of next states. Texts are cut into pieces of ``PIECE`` letters that are parsed side by
 side, letter by letter, in all languages at once; a phrase ends with its piece. Whole texts are parsed.
 
-Letters are lower-cased; runs of anything but letters are one blank. Training takes whole texts in the order of a
-hash, copies once, until ``CHARS`` letters of a language are reached; this bound is all that the driver ever holds.
+Letters are lower-cased; runs of anything but letters are one blank. Training takes texts in the order of a hash, copies
+once, of each its first four times ``CHARS`` characters at most, until ``CHARS`` letters of a language are reached; this
+bound is all that the driver ever holds.
 
 Defined results: a text that is NULL or has no letter is ``und`` with score 0, and so is every text if nothing was
 learned. Ties go to the first language of the alphabet. The score is the share of the second-best language's cost

@@ -14,8 +14,8 @@ only change how much is evaluated, never the result.
 
 Defined results: NULL vectors and vectors with NULL or non-finite parts take no part. Vectors of another length
 than the query's do not meet it; empty vectors score 0. A query is never its own answer, but other rows with its
-key may be. Ties go to the smaller key (NULL first). Fewer than k answers are all given. Without usable queries or
-vectors there are no rows. Other columns are not read, so names may clash.
+key may be. Ties go to the smaller key (NULL first). Fewer than k answers are all given. Parts so large that a
+score could exceed 64 bits are an error, never a wrong score. Without usable queries or vectors there are no rows. Other columns are not read, so names may clash.
 """
 
 from __future__ import annotations
@@ -159,6 +159,10 @@ def _matched(k: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
             n, m = len(row["q_rows"]), len(row["rows"])
             queries = np.frombuffer(row["q_vectors"], "<i8").reshape(n, dim)
             vectors = np.frombuffer(row["vectors"], "<i8").reshape(m, dim)
+            if n and m and dim:
+                most = [max(int(x.max()), -int(x.min())) for x in (queries, vectors)]
+                if dim * most[0] * most[1] >= 2**63:
+                    raise OverflowError("scores of these vectors may exceed 64 bits")
             keys = row["keys"]
             order = sorted(range(m), key=lambda i: (keys[i] is not None, keys[i] or 0, row["rows"][i]))
             rank = np.empty(m, np.int64)
