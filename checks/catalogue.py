@@ -749,7 +749,7 @@ def _refreshed(spark, landings: list[DataFrame], incremental: bool) -> DataFrame
         names = Names(*[f"{database}.{f.name}" for f in fields(Names)])
         for rows in landings:
             write_inbound(rows, inbound, consumer.EVENT_TIME)
-            refresh(spark, inbound, checkpoint, CDI_PCT, names, incremental, max_files_per_trigger=500)
+            refresh(spark, inbound, checkpoint, CDI_PCT, names, incremental, max_files_per_trigger=500, buckets=16)
         layers_of = {
             "bronze": dataset(spark, names.bronze).select("codigo"),
             "silver": dataset(spark, names.silver).select("codigo", *parsed),

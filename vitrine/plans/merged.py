@@ -70,9 +70,13 @@ def merge(spark: SparkSession, batch: DataFrame, target: str, root: str, buckets
     path = f"{root}/{uuid.uuid4().hex}"
     merged = _joined(old.unionByName(new)).withColumn(BUCKET, _bucket(buckets))
     merged.write.partitionBy(BUCKET).parquet(path)
-    for bucket in touched:
-        part, place = f"PARTITION ({BUCKET}={bucket})", f"LOCATION '{path}/{BUCKET}={bucket}'"
-        spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {part} {place}")
+    places = {b: (f"PARTITION ({BUCKET}={b})", f"LOCATION '{path}/{BUCKET}={b}'") for b in touched}
+    # A name per partition at most.
+    there = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {target}").collect()}
+    added = [f"{part} {place}" for b, (part, place) in places.items() if b not in there]
+    if added:
+        spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {' '.join(added)}")
+    for part, place in (places[b] for b in touched if b in there):
         spark.sql(f"ALTER TABLE {target} {part} SET {place}")
     return touched
 

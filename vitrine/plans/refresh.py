@@ -149,7 +149,9 @@ def refresh_marts(spark: SparkSession, names: Names = Names()) -> None:
     publish_view(best, names.suggestion, "Cheapest offer per marketplace")
 
 
-def merge_marts(spark: SparkSession, checkpoint: str, names: Names = Names()) -> None:
+def merge_marts(
+    spark: SparkSession, checkpoint: str, names: Names = Names(), buckets: int = merged.BUCKETS
+) -> None:
     """New gold rows into the marts: nothing reads the whole history.
 
     Prices are appended. The current row per code is merged into ``names.current``, of which details, products and the
@@ -160,7 +162,7 @@ def merge_marts(spark: SparkSession, checkpoint: str, names: Names = Names()) ->
 
     write_stream_table(prices(stream()), names.prices, f"{checkpoint}/prices").awaitTermination()
     root = f"{checkpoint}/current-rows"
-    merged.merge_stream(stream(), names.current, root, f"{checkpoint}/current").awaitTermination()
+    merged.merge_stream(stream(), names.current, root, f"{checkpoint}/current", buckets).awaitTermination()
     for target, view in {
         names.details: merged.DETAILS_SQL,
         names.products: merged.PRODUCTS_SQL,
@@ -179,6 +181,7 @@ def refresh(
     max_files_per_trigger: int | None = None,
     delay: str | None = None,
     collapse: bool = False,
+    buckets: int = merged.BUCKETS,
 ) -> dict[str, Counts]:
     """New landing files through all layers; ``(passed, failed)`` per rule come back.
 
@@ -188,7 +191,8 @@ def refresh(
     as a whole, or merged (``merge_marts``). Tables stay with the way they were first written.
 
     ``max_files_per_trigger`` bounds a backlog; ``delay`` bounds the state of the ingest by
-    the scrape time (see ``bronze_ingest``); ``collapse`` helps it with hot adverts.
+    the scrape time (see ``bronze_ingest``); ``collapse`` helps it with hot adverts. ``buckets`` is the number of
+    partitions of the merged marts, which stays once they are there.
     """
     ingest = bronze_ingest(
         spark,
@@ -212,7 +216,7 @@ def refresh(
         counts["gold"] = _appended(
             spark, names.silver, advised, GOLD_RULES, names.gold, f"{checkpoint}/gold"
         )
-        merge_marts(spark, checkpoint, names)
+        merge_marts(spark, checkpoint, names, buckets)
     else:
         # Raw rows are laid out first: codes stay as they are and scrape times sort as
         # text, so the range sampling scans plain columns and parsing runs once.
