@@ -8,7 +8,7 @@ Each micro-batch is cut to one row per key, and meets the known keys of the buck
 
 New rows, keys and filter blocks of a batch are written to folders named by its number, and a batch reads only
 folders of lower numbers. A batch that is repeated after a failure finds the same as before and writes the same
-folders again. Nothing is kept in executors; ``compact`` joins the filter's many small folders.
+folders again. Nothing is kept in executors; ``compact`` joins the many small folders of keys and filter.
 """
 
 from __future__ import annotations
@@ -62,15 +62,20 @@ def _bits(id_: Column) -> list[Column]:
     return words
 
 
-def _earlier(spark: SparkSession, path: str, schema: str, batch: int) -> DataFrame:
-    """What batches before this one have written under ``path``."""
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches with a folder under ``path``."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = where.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
-    wanted = [n for n in names if n.startswith("batch=") and int(n[6:]) < batch]
+    return [int(n[6:]) for n in names if n.startswith("batch=")]
+
+
+def _earlier(spark: SparkSession, path: str, schema: str, batch: int) -> DataFrame:
+    """What batches before this one have written under ``path``."""
+    wanted = [n for n in _numbers(spark, path) if n < batch]
     if not wanted:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{n}" for n in wanted])
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/batch={n}" for n in wanted])
 
 
 _KEYS = f"{_ID} binary, {_BUCKET} int, batch long"
@@ -125,14 +130,19 @@ def _remove(spark: SparkSession, *paths: str) -> None:
 
 
 def compact(spark: SparkSession, store: KeyStore, upto: int) -> None:
-    """Join the filter's blocks of all batches up to ``upto`` into that batch's folder; between two runs of the stream."""
-    path = f"{store.root}/filter"
-    blooms = _earlier(spark, path, _FILTER, upto + 1)
+    """Join keys and filter of all batches up to ``upto`` into that batch's folders, between two runs of the stream.
+
+    The joined folder holds all the others, so a stop between these steps loses nothing, and what is there twice
+    does no harm.
+    """
+    blooms = _earlier(spark, f"{store.root}/filter", _FILTER, upto + 1)
     merged = blooms.groupBy(_BLOCK).agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(_WORDS)])
-    merged.write.mode("overwrite").parquet(f"{store.root}/compacted")
-    # The joined blocks hold all the others, so a stop between these steps loses nothing.
-    spark.read.parquet(f"{store.root}/compacted").write.mode("overwrite").parquet(f"{path}/batch={upto}")
-    _remove(spark, f"{store.root}/compacted", *[f"{path}/batch={n}" for n in range(upto)])
+    keys = _earlier(spark, f"{store.root}/keys", _KEYS, upto + 1).select(_ID, _BUCKET)
+    for name, rows, parts in (("filter", merged, []), ("keys", keys.hint("rebalance", _BUCKET), [_BUCKET])):
+        path, staged = f"{store.root}/{name}", f"{store.root}/compacted-{name}"
+        rows.write.mode("overwrite").parquet(staged)
+        spark.read.parquet(staged).write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/batch={upto}")
+        _remove(spark, staged, *[f"{path}/batch={n}" for n in _numbers(spark, path) if n < upto])
 
 
 def dedup_stream(
