@@ -120,3 +120,13 @@ def test_native(spark, query):
     df = queries.queries()[query](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_hot_url_can_be_split(spark):
+    """The pages' last join meets a table that is read, not an aggregation whose partitions it would have to keep."""
+    pages = spark.range(50).select(F.col("id").alias("page_id"), F.when(F.col("id") % 2 == 0, "http://a.net/x").alias("url"))
+    rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, verdict string")
+    listed = spark.createDataFrame([], "host string, path string")
+    got = url_filter.judge(spark, pages, rules, listed, "page_id", "url")
+    assert "Aggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.where("verdict = 'block'").count() == 25

@@ -22,6 +22,8 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.llm.batches import stored
+
 MAX_BLOCKS = 1 << 16  # of 32 bytes and a number: under 3 MB
 BITS_PER_KEY = 16
 _WORDS = 4
@@ -125,7 +127,9 @@ def judge(spark: SparkSession, pages: DataFrame, rules: DataFrame, listed: DataF
             F.max("listed").alias("listed"),
         )
     )
-    verdicts = judged.join(found, ["host", "path"], "left")
+    # Read again from a table, hits are not bound to the aggregation's partitions, and adaptive execution can split the
+    # pages of a hot URL (all those without "://" are one).
+    verdicts = judged.join(stored(spark, found, "hits"), ["host", "path"], "left")
     is_listed = F.coalesce("listed", F.lit(False))
     return verdicts.select(
         F.col("page").alias(key),
