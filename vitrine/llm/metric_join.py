@@ -53,7 +53,8 @@ SLACK = 1e-6  # more than any error of an angle in double precision
 
 _CORE, _OWN, _VISIT = 0, 1, 2
 _SIGNED = "key long, node binary, vector binary"
-_ASSIGNED = "dim int, cell int, core boolean, node binary, n long, vector binary, angles array<double>"
+_ASSIGNED = "dim int, cell int, core boolean, node binary, n long, vector binary"
+_RANGES = "dim int, cell int, low array<double>, high array<double>"
 _DEALT = "dim int, cell int, kind int, at double, node binary, n long, vector binary"
 _BLOCKS = "dim int, cell int, kind int, block long, low double, high double, nodes array<binary>, counts binary, vectors binary"
 _LINKED = "node binary, root binary, links long"
@@ -127,22 +128,35 @@ def _assigned(kind: str, radius: float, chosen: dict, batches: Iterable[pa.Recor
             part = batch.take(pa.array(places))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(places), dim), pa.int32()), pa.array(cell, pa.int32()), pa.array(core)]
-                + [part.column(n) for n in ("node", "n", "vector")]
-                + [pa.array(list(away), pa.list_(pa.float64()))],
-                names=["dim", "cell", "core", "node", "n", "vector", "angles"],
+                + [part.column(n) for n in ("node", "n", "vector")],
+                names=["dim", "cell", "core", "node", "n", "vector"],
             )
 
 
-def _dealt(radius: float, ranges: dict, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ranges(kind: str, chosen: dict, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Least and greatest angle to each pivot of the vectors of each cell in a batch."""
+    for batch in batches:
+        cells = batch.column("cell").to_numpy()
+        for dim, places, vectors in _by_length(batch, kind):
+            away = angles(unit(vectors), chosen[dim])
+            own = cells[places]
+            for cell in np.unique(own):
+                part = away[own == cell]
+                row = {"dim": dim, "cell": int(cell), "low": part.min(axis=0).tolist(), "high": part.max(axis=0).tolist()}
+                yield pa.RecordBatch.from_pylist(
+                    [row],
+                    pa.schema([("dim", pa.int32()), ("cell", pa.int32()), ("low", pa.list_(pa.float64())), ("high", pa.list_(pa.float64()))]),
+                )
+
+
+def _dealt(kind: str, radius: float, chosen: dict, ranges: dict, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each vector in its own cell and in the earlier cells that it visits."""
     for batch in batches:
-        dims = batch.column("dim").to_numpy()
         cells = batch.column("cell").to_numpy()
         cores = batch.column("core").to_numpy(zero_copy_only=False)
-        for dim in np.unique(dims):
-            places = np.flatnonzero(dims == dim)
-            low, high = ranges[int(dim)]
-            away = np.array(batch.column("angles").take(pa.array(places)).to_pylist())
+        for dim, places, vectors in _by_length(batch, kind):
+            low, high = ranges[dim]
+            away = angles(unit(vectors), chosen[dim])
             own = cells[places]
             for cell in range(len(low)):
                 if np.isnan(low[cell]).any():  # an empty cell
@@ -151,13 +165,13 @@ def _dealt(radius: float, ranges: dict, batches: Iterable[pa.RecordBatch]) -> It
                 here = np.flatnonzero((own == cell) | ((own > cell) & meets))
                 if not len(here):
                     continue
-                kind = np.where(own[here] > cell, _VISIT, np.where(cores[places[here]], _CORE, _OWN))
+                role = np.where(own[here] > cell, _VISIT, np.where(cores[places[here]], _CORE, _OWN))
                 part = batch.take(pa.array(places[here]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(here), dim), pa.int32()),
                         pa.array(np.full(len(here), cell), pa.int32()),
-                        pa.array(kind, pa.int32()),
+                        pa.array(role, pa.int32()),
                         pa.array(away[here, cell]),
                         *[part.column(n) for n in ("node", "n", "vector")],
                     ],
@@ -341,11 +355,13 @@ def near_vectors(spark: SparkSession, rows: DataFrame, key: str, vector: str, si
         chosen[dim] = choose(unit(own), min(MOST_PIVOTS, -(-n // CELL_ROWS)), radius)
     assigned = stored(spark, nodes.mapInArrow(partial(_assigned, kind, radius, chosen), _ASSIGNED), "cells")
 
-    measured = assigned.select("dim", "cell", F.posexplode("angles").alias("pivot", "angle"))
+    # A row per cell and batch, so far fewer than vectors; the table of ranges has a number per pair of pivots.
+    parts = assigned.select("dim", "cell", "vector").mapInArrow(partial(_ranges, kind, chosen), _RANGES)
+    measured = parts.select("dim", "cell", F.posexplode(F.arrays_zip("low", "high")).alias("pivot", "angle"))
     ranges = {dim: np.full((2, len(p), len(p)), np.nan) for dim, p in chosen.items()}
-    for r in measured.groupBy("dim", "cell", "pivot").agg(F.min("angle").alias("low"), F.max("angle").alias("high")).collect():
+    for r in measured.groupBy("dim", "cell", "pivot").agg(F.min("angle.low").alias("low"), F.max("angle.high").alias("high")).collect():
         ranges[r.dim][:, r.cell, r.pivot] = r.low, r.high
-    dealt = assigned.mapInArrow(partial(_dealt, radius, ranges), _DEALT)
+    dealt = assigned.mapInArrow(partial(_dealt, kind, radius, chosen, ranges), _DEALT)
     order = ["dim", "cell", "kind", "at", "node"]
     ranged = dealt.repartitionByRange(*order).sortWithinPartitions(*order)
     blocks = stored(spark, ranged.mapInArrow(_blocked, _BLOCKS), "blocks")
