@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import sys
 from collections.abc import Callable, Iterable, Iterator
@@ -80,6 +81,15 @@ def kept_in_worker(name: str, make: Callable[[], Any]) -> Any:
     return getattr(state, name)
 
 
+def give_back() -> None:
+    """Return what this Python worker has freed to the system: workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library, which has no such call
+
+
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write a DataFrame to the shared scratch folder and read it again: the lineage ends there."""
     path = scratch_dir(spark, label)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.batches import blank_words, mixed
+from vitrine.llm.batches import blank_words, give_back, mixed
 from vitrine.session import scratch_dir
 
 WINDOW = 20
@@ -99,6 +99,7 @@ class Segment:
                 numbers[word] = len(numbers)
             ids[start : start + len(words)] = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
         self.ids = ids
+        self.words = []  # half of a segment's memory, and not needed any more
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))
         left = np.repeat(self.starts + self.lengths, self.lengths) - np.arange(self.total)  # words to the end
         own = hashes[ids] if self.total else np.empty(0, np.uint64)
@@ -224,6 +225,8 @@ def _sent_anchors(buckets: int, batches: Iterable[pa.RecordBatch]) -> Iterator[p
     """Distinct anchors of each segment by bucket, and which of them it holds twice."""
     for batch in batches:
         for number, value in zip(batch.column("segment").to_pylist(), batch.column("documents")):
+            segment = None  # the last one goes before the next one comes
+            give_back()
             segment = _of(value.as_py())
             segment.hash()
             found, counts = np.unique(segment.phrases[segment.anchor_places()], return_counts=True)
@@ -262,6 +265,8 @@ def _sent_windows(buckets: int, batches: Iterable[pa.RecordBatch]) -> Iterator[p
     for batch in batches:
         for row in batch.to_pylist():
             recurring = np.concatenate([np.frombuffer(x, np.uint64) for x in row["anchors"]])
+            segment = None
+            give_back()
             segment = _of(row["documents"])
             segment.hash()
             at = segment.candidates(recurring)
@@ -325,6 +330,8 @@ def _cleaned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of the segments with counts and the words that stay."""
     for batch in batches:
         for row in batch.to_pylist():
+            segment = kept = texts = None
+            give_back()
             table = _unpacked(row["documents"])
             segment = Segment(table.column("__key").to_pylist(), table.column("__text").to_pylist())
             places = [np.frombuffer(x, "<u4").astype(np.int64) for x in row["places"] or []]
