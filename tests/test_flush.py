@@ -3,12 +3,13 @@ import time
 from collections import Counter
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from helpers import bag, listings
 from pyspark.sql import functions as F
 from vitrine import schemas
 from vitrine.sources.listings import listing_batch, listing_stream
-from vitrine.streaming.flush import flushed, write_flushed
+from vitrine.streaming.flush import _lines, _packed, flushed, write_flushed
 
 
 def adverts(spark, first, n):
@@ -82,3 +83,35 @@ def test_rows_wait_over_triggers_and_restarts(spark, tmp_path, running):
     wait_for(query, tmp_path / "out", 20)
     wait_for_input(query, 14)
     assert sizes(tmp_path / "out") == {(0, 0, "rows"): 10, (1, 0, "rows"): 10}
+
+
+def test_a_backlog_reaches_its_lane_as_blocks(spark, tmp_path):
+    n = 40_000
+    rows = spark.range(n).selectExpr(
+        "cast(id as string) AS codigo", "repeat('ção ', 20) AS nome", "if(id % 5 = 0, NULL, 'p') AS preco",
+        "if(id % 7 = 0, NULL, timestamp'2025-10-05 01:00:00') AS at",
+    )
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    due = flushed(stream, "at", 1000, 1, lane=F.col("codigo").cast("long") % 3)
+    query = write_flushed(due, str(tmp_path / "out"), str(tmp_path / "c"), "200 milliseconds", by_flush=True)
+    try:
+        wait_for(query, tmp_path / "out", n)
+        plan = query._jsq.explainInternal(False)
+    finally:
+        query.stop()
+    found = sizes(tmp_path / "out")
+    for lane in range(3):
+        held = len(range(lane, n, 3))
+        assert sorted(v for (at, *_), v in found.items() if at == lane) == sorted([1000] * (held // 1000) + [held % 1000])
+    back = spark.read.json(str(tmp_path / "out")).selectExpr("codigo", "folder = '2025-10-05_01' AS dated")
+    assert bag(back) == bag(rows.selectExpr("codigo", "if(at IS NULL, NULL, true) AS dated"))
+    # Neither what a lane's task sorts nor what it sends on are single lines.
+    assert plan.count("MapInArrow") == 2 and plan.count("Exchange hashpartitioning(lane") == 2
+
+
+def test_lines_of_a_lane_are_one_block():
+    folders, lanes = ["a", None, "b", "a"], pa.array([1, None, 1, None], pa.int64())
+    (out,) = _packed([pa.RecordBatch.from_pydict({"folder": folders, "line": ["1", "2", "3", "4"], "lane": lanes})])
+    found = {row["lane"]: _lines(row["size"], row["lines"]) for row in out.to_pylist()}
+    assert found == {1: ["a\t1", "b\t3"], None: ["\t2", "a\t4"]}
