@@ -51,6 +51,24 @@ def test_stream_remembers_over_triggers_and_restarts(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == brute(rows)
 
 
+def test_a_trigger_is_held_as_blocks(spark, tmp_path):
+    """Rows of a trigger pass through their partition's task compressed, with all column types kept."""
+    rows = spark.range(30_000).selectExpr(
+        "concat('advert ', id) AS name", "if(id % 10 = 0, NULL, id % 2) AS part", "array(id, NULL) AS more",
+        "timestamp'2025-10-05 12:00:00' + make_dt_interval(0, 0, 0, id * 7919 % 30000) AS arrived",
+        "if(id % 13 = 0, NULL, timestamp'2025-10-05 12:00:00' + make_dt_interval(0, 0, 0, id * 7907 % 30000)) AS at",
+    )
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = in_order(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), "at", "part", "arrived")
+    assert stream.dtypes == rows.dtypes
+    query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+    query = query.trigger(availableNow=True).start(str(tmp_path / "out"))
+    query.awaitTermination()
+    assert query._jsq.explainInternal(False).count("MapInArrow") == 2
+    got, wanted = spark.read.parquet(str(tmp_path / "out")), in_order(rows, "at", "part", "arrived")
+    assert got.exceptAll(wanted).count() == 0 and got.count() == 30_000
+
+
 def test_policy_is_checked(spark):
     with pytest.raises(ValueError):
         with_event_time(spark.createDataFrame([], schemas.EVENT), out_of_order="drop")
