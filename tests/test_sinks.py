@@ -10,7 +10,7 @@ from vitrine.plans.layers import clean, recommend
 from vitrine.plans.refresh import Names, refresh
 from vitrine.session import scratch_dir
 from vitrine.sinks.inbound import write_inbound
-from vitrine.sinks.tables import write_view
+from vitrine.sinks.tables import write_stream_table, write_view
 from vitrine.sources.listings import dataset, listing_batch, listing_stream
 
 
@@ -163,3 +163,28 @@ def test_gold_layout_of_a_refresh(spark, tmp_path):
             assert row.overlapping_files == 0 and row.rows == dataset(spark, names.bronze).count()
     finally:
         spark.sql("DROP DATABASE laid CASCADE")
+
+
+def test_one_landing_is_neither_moved_nor_plain_text(spark, tmp_path):
+    df = landed(adverts(spark, 500).repartition(3), "2025-10-05 19:00:00")
+    write_inbound(df, str(tmp_path / "in"), "at", as_they_lie=True, compression="gzip")
+    files = list((tmp_path / "in" / "folder=2025-10-05_19").glob("*.json.gz"))
+    assert len(files) == 3  # as the rows lay
+    assert bag(listing_batch(spark, str(tmp_path / "in"))) == bag(adverts(spark, 500))
+    query = write_stream_table(listing_stream(spark, str(tmp_path / "in")), "unpacked", str(tmp_path / "c"), str(tmp_path / "t"))
+    query.awaitTermination()
+    try:
+        assert bag(spark.table("unpacked")) == bag(adverts(spark, 500))
+    finally:
+        spark.sql("DROP TABLE unpacked")
+
+
+def test_landings_of_the_queries_are_written_once_and_small(spark, tmp_path):
+    """What the queries land is shuffled for no reason of its own, and takes a part of its plain text."""
+    from checks.catalogue import _landed, _listings
+
+    found = Path(_landed(spark, "/root/testdata/sf0.01").removeprefix("file://"))
+    size = sum(f.stat().st_size for f in found.rglob("part-*"))
+    plain = _listings(spark, "/root/testdata/sf0.01").selectExpr("sum(length(to_json(struct(*))))").first()[0]
+    assert size * 4 < plain
+    assert bag(listing_batch(spark, str(found))) == bag(_listings(spark, "/root/testdata/sf0.01").select(*schemas.LISTING.names))
