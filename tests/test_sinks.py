@@ -3,14 +3,14 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
-from helpers import bag, listings
+from helpers import bag, listings, plan
 from pyspark.sql import functions as F
 from vitrine import schemas
 from vitrine.plans.layers import clean, recommend
 from vitrine.plans.refresh import Names, refresh
 from vitrine.session import scratch_dir
 from vitrine.sinks.inbound import write_inbound
-from vitrine.sinks.tables import write_stream_table, write_view
+from vitrine.sinks.tables import overlapping_files, write_stream_table, write_view
 from vitrine.sources.listings import dataset, listing_batch, listing_stream
 
 
@@ -188,3 +188,13 @@ def test_landings_of_the_queries_are_written_once_and_small(spark, tmp_path):
     plain = _listings(spark, "/root/testdata/sf0.01").selectExpr("sum(length(to_json(struct(*))))").first()[0]
     assert size * 4 < plain
     assert bag(listing_batch(spark, str(found))) == bag(_listings(spark, "/root/testdata/sf0.01").select(*schemas.LISTING.names))
+
+
+def test_ends_of_files_are_found_without_sorting_rows(spark, tmp_path):
+    for name, rows in {"a": ["b", None, "f"], "b": ["e", "h"], "c": ["h", "ção"], "d": [None]}.items():
+        spark.createDataFrame([(r, 1) for r in rows], "code string, x int").coalesce(1).write.mode("append").parquet(str(tmp_path / "t"))
+    found = overlapping_files(spark.read.parquet(str(tmp_path / "t")), "code")
+    # Sorted by their least value: b to f, e to h (begins below f), h to ção; the file without values counts its row.
+    assert [tuple(r) for r in found.collect()] == [(1, 8)]
+    scan = plan(found).split("Scan parquet")[0]
+    assert "MapInArrow" in scan[scan.rindex("SortAggregate"):]
