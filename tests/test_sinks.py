@@ -1,17 +1,21 @@
 import json
+import time
 from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
 from helpers import bag, listings, plan
 from pyspark.sql import functions as F
+from vitrine import fixed_values as fixed
 from vitrine import schemas
+from vitrine.operators.dedup import dedup_latest
 from vitrine.plans.layers import clean, recommend
 from vitrine.plans.refresh import Names, refresh
 from vitrine.session import scratch_dir
 from vitrine.sinks.inbound import write_inbound
 from vitrine.sinks.tables import overlapping_files, write_stream_table, write_view
 from vitrine.sources.listings import dataset, listing_batch, listing_stream
+from vitrine.streaming.ingest import bronze_ingest, bronze_rows
 
 
 def adverts(spark, n=40, start=0):
@@ -198,3 +202,64 @@ def test_ends_of_files_are_found_without_sorting_rows(spark, tmp_path):
     assert [tuple(r) for r in found.collect()] == [(1, 8)]
     scan = plan(found).split("Scan parquet")[0]
     assert "MapInArrow" in scan[scan.rindex("SortAggregate"):]
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f.name for d in folders for f in Path(d.getPath()).rglob("shuffle_*")}
+
+
+def left_over(spark, before, seconds=10):
+    """Shuffle files that were not there before and do not go, which Spark may take a moment for."""
+    end = time.monotonic() + seconds
+    while (more := shuffle_files(spark) - before) and time.monotonic() < end:
+        time.sleep(0.1)
+    return more
+
+
+def test_landing_and_ingest_leave_no_shuffle_files(spark, tmp_path):
+    before = shuffle_files(spark)
+    rows = dedup_latest(adverts(spark, 300), fixed.STREAM_DEDUP_KEYS, ["extract"])
+    write_inbound(landed(rows, "2025-10-05 19:00:00"), str(tmp_path / "in"), "at", as_they_lie=True, compression="gzip")
+    assert not left_over(spark, before)
+    spark.sql(f"CREATE DATABASE left_over LOCATION '{tmp_path / 'left_over'}'")
+    try:
+        bronze_ingest(spark, str(tmp_path / "in"), "left_over.l", str(tmp_path / "c")).awaitTermination()
+        assert not left_over(spark, before)
+        keys = ["codigo", "preco", "desconto", "parcelamento"]
+        assert spark.table("left_over.l").count() == adverts(spark, 300).select(*keys).distinct().count()
+    finally:
+        spark.sql("DROP DATABASE left_over CASCADE")
+
+
+def test_ingest_stores_small_and_goes_on_with_an_older_checkpoint(spark, tmp_path):
+    inbound, checkpoint, path = (str(tmp_path / n) for n in ("in", "c", "t"))
+    keys = ["codigo", "preco", "desconto", "parcelamento"]
+    spark.sql(f"CREATE DATABASE older LOCATION '{tmp_path / 'older'}'")
+    try:
+        adverts(spark, 30).write.json(inbound)
+        # As the ingest was before: the session's codecs for state and table.
+        rows = bronze_rows(listing_stream(spark, inbound))
+        write_stream_table(rows, "older.l", checkpoint, path).awaitTermination()
+        for last in (60, 90):
+            adverts(spark, last).write.mode("append").json(inbound)
+            bronze_ingest(spark, inbound, "older.l", checkpoint, path).awaitTermination()
+            assert bag(spark.table("older.l"), *keys) == bag(adverts(spark, last).select(*keys).distinct())
+        bronze_ingest(spark, inbound, "older.new", str(tmp_path / "c2"), str(tmp_path / "t2")).awaitTermination()
+        assert bag(spark.table("older.new"), *keys) == bag(adverts(spark, 90).select(*keys).distinct())
+        assert {f.name.split(".", 1)[1] for f in (tmp_path / "t2").glob("part-*")} == {"zstd.parquet"}
+        assert '"spark.sql.streaming.stateStore.compression.codec":"zstd"' in (tmp_path / "c2" / "offsets" / "0").read_text()
+    finally:
+        spark.sql("DROP DATABASE older CASCADE")
+
+
+def test_two_landings_build_the_listings_once(spark, monkeypatch):
+    from checks import catalogue
+
+    sf, built = "/root/testdata/sf0.001", []
+    whole = catalogue._listings(spark, sf).select(*schemas.LISTING.names)
+    monkeypatch.setattr(catalogue, "_listings", lambda *a: built.append(a) or whole)
+    first = bag(dedup_latest(whole, fixed.STREAM_DEDUP_KEYS, ["extract"]))
+    landings = [bag(listing_batch(spark, inbound)) for inbound in catalogue._landed_twice(spark, sf)]
+    assert landings == [first, first + bag(whole)]
+    assert len(built) == 1
